@@ -96,15 +96,41 @@ AUTHOR_WINDOWS = Policy(on=(("time", "time"), ("author", "author")), matched=(Cl
 # --- merge on plain frames ---------------------------------------------------
 
 
+def has_repeated_keys(source: DataFrame, policy: Policy) -> bool:
+    """Whether several source rows share a complete match key."""
+    return bool(key_summary(source, policy).first()["repeated"])
+
+
+def key_summary(source: DataFrame, policy: Policy, *extra: Column) -> DataFrame:
+    """One row: whether match keys repeat, and the distinct values of ``extra``.
+
+    The extra values must depend on the match key or be few.
+    """
+    keys = [F.expr(expression) for _, expression in policy.on]
+    per_key = source.groupBy(
+        *[key.alias(f"key{i}") for i, key in enumerate(keys)], *[e.alias(f"extra{i}") for i, e in enumerate(extra)]
+    ).agg((F.count("*") > 1).alias("several"))
+    complete = _all([F.col(f"key{i}").isNotNull() for i in range(len(keys))])
+    return per_key.agg(
+        F.coalesce(F.bool_or(F.col("several") & complete), F.lit(False)).alias("repeated"),
+        *[F.collect_set(f"extra{i}").alias(f"values{i}") for i in range(len(extra))],
+    )
+
+
 def merge_rows(
-    target: DataFrame, source: DataFrame, policy: Policy, held: list[DataFrame] | None = None
+    target: DataFrame,
+    source: DataFrame,
+    policy: Policy,
+    repeated: bool | None = None,
+    held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Pair target and source rows and decide what becomes of each pair.
 
     Returns ``t`` (target row or null), ``action`` (keep, insert, update, delete)
     and ``after`` (resulting row, null for delete): each target row once, plus one
-    row per source row that matched nothing. ``source`` should be persisted. Frames
-    persisted here are added to ``held`` for the caller to release.
+    row per source row that matched nothing. ``source`` should be persisted;
+    ``repeated`` spares a look at its keys. Frames persisted here are added to
+    ``held`` for the caller to release.
 
     Rows that cannot match, because a key is null or the target row is not
     eligible, stay out of the join, so they never gather in one task.
@@ -121,10 +147,9 @@ def merge_rows(
     inside = target_rows.filter(target_can_match)
     keyed = source_rows.filter(source_can_match)
     same_keys = _all([t == s for t, s in zip(target_keys, source_keys)])
-    repeated = (
-        keyed.groupBy(*[key.alias(f"key{i}") for i, key in enumerate(source_keys)]).count().filter("count > 1")
-    )
-    if repeated.isEmpty():
+    if repeated is None:
+        repeated = has_repeated_keys(source, policy)
+    if not repeated:
         pairs = inside.join(keyed, same_keys, "full")
     else:
         pairs = _pair_repeated(inside, keyed, same_keys, policy, held if held is not None else [])

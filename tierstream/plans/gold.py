@@ -16,8 +16,10 @@ def upsert_authors_stats(lake: Lake, name: str) -> BatchHandler:
     """Replace the windows a batch has changed by their running values."""
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
-        record(lake.metrics, name, writer, batch_id, "gold_authors_stats", batch.count())
-        lake.authors_stats.merge(batch, AUTHOR_WINDOWS, writer, batch_id)
+        rows = batch.count()
+        record(lake.metrics, name, writer, batch_id, "gold_authors_stats", rows)
+        if rows:
+            lake.authors_stats.merge(batch, AUTHOR_WINDOWS, writer, batch_id)
 
     return handle
 

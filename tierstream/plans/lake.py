@@ -16,15 +16,16 @@ from tierstream.streaming.tables import AppendTable, MergeTable
 class Lake:
     """All tables as Parquet folders under ``root``.
 
-    ``buckets`` is the number of hash buckets of the merged tables. It is fixed when
-    a table is first written, so choose it for the size the table will reach.
+    ``buckets`` is the number of hash buckets of the merged tables, by default one per
+    shuffle partition. It is fixed when a table is first written, so choose it for the
+    size the table will reach.
     """
 
     spark: SparkSession
     root: str
     checkpoint_root: str | None = None
     env: str | None = None
-    buckets: int = 16
+    buckets: int | None = None
 
     def path(self, layer: str, name: str) -> str:
         base = f"{self.root}/{self.env}" if self.env else self.root
@@ -40,6 +41,10 @@ class Lake:
             table.create()
         return self
 
+    @property
+    def bucket_count(self) -> int:
+        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def topic(self, name: str) -> DataFrame:
         """A bronze topic table as a stream."""
         return self.spark.readStream.schema(schemas.ENVELOPE).parquet(self.path("bronze", name))
@@ -54,14 +59,14 @@ class Lake:
         # share one even if a title holds a bar.
         return MergeTable(
             self.spark, self.path("silver", "silver_books"), schemas.BOOKS,
-            bucket_by=("substring_index(book_id, '|', 1)",), buckets=self.buckets, settled="NOT current",
+            bucket_by=("substring_index(book_id, '|', 1)",), buckets=self.bucket_count, settled="NOT current",
         )
 
     @property
     def customers(self) -> MergeTable:
         return MergeTable(
             self.spark, self.path("silver", "silver_customers"), schemas.CUSTOMERS,
-            bucket_by=("customer_id",), buckets=self.buckets, change_feed=True,
+            bucket_by=("customer_id",), buckets=self.bucket_count, change_feed=True,
         )
 
     @property
@@ -75,7 +80,7 @@ class Lake:
     def customers_orders(self) -> MergeTable:
         return MergeTable(
             self.spark, self.path("silver", "silver_customers_orders"), schemas.CUSTOMERS_ORDERS,
-            bucket_by=("order_id", "customer_id"), buckets=self.buckets,
+            bucket_by=("order_id", "customer_id"), buckets=self.bucket_count,
             cluster_by=("order_id", "customer_id", "processed_timestamp"),
         )
 
@@ -87,7 +92,7 @@ class Lake:
     def authors_stats(self) -> MergeTable:
         return MergeTable(
             self.spark, self.path("gold", "gold_authors_stats"), schemas.AUTHORS_STATS,
-            bucket_by=("time.start", "author"), buckets=self.buckets,
+            bucket_by=("time.start", "author"), buckets=self.bucket_count,
         )
 
     @property

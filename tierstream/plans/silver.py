@@ -59,8 +59,10 @@ def upsert_books(lake: Lake, name: str) -> BatchHandler:
         known = books.read(books.touched(batch))
         fresh = drop_known_rows(batch, known, _VALIDITY).persist()
         try:
-            record(lake.metrics, name, writer, batch_id, "silver_books", fresh.count())
-            books.merge(with_merge_keys(fresh, known), BOOK_HISTORY, writer, batch_id)
+            rows = fresh.count()
+            record(lake.metrics, name, writer, batch_id, "silver_books", rows)
+            if rows:
+                books.merge(with_merge_keys(fresh, known), BOOK_HISTORY, writer, batch_id)
         finally:
             fresh.unpersist()
 
@@ -85,9 +87,11 @@ def upsert_customers(lake: Lake, name: str) -> BatchHandler:
     """Type 1 with deletes, from the newest row per customer of the batch."""
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
-        record(lake.metrics, name, writer, batch_id, "silver_customers", batch.count())
-        newest = newest_per_key(batch, ["customer_id"], "row_time")
-        lake.customers.merge(newest, CUSTOMER_STATE, writer, batch_id)
+        rows = batch.count()
+        record(lake.metrics, name, writer, batch_id, "silver_customers", rows)
+        if rows:
+            newest = newest_per_key(batch, ["customer_id"], "row_time")
+            lake.customers.merge(newest, CUSTOMER_STATE, writer, batch_id)
 
     return handle
 
@@ -113,9 +117,9 @@ def insert_orders(lake: Lake, name: str) -> BatchHandler:
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
         orders = as_schema(clean_subtotals(batch), schemas.ORDERS)
-        count = orders.count()
-        record(lake.metrics, name, writer, batch_id, "silver_orders", count)
-        if count:
+        rows = orders.count()
+        record(lake.metrics, name, writer, batch_id, "silver_orders", rows)
+        if rows:
             new = rows_not_in(orders, lake.orders.read(), ["order_id", "order_timestamp"], "order_timestamp")
             lake.orders.append(new, writer, batch_id)
 
@@ -154,7 +158,10 @@ def upsert_customers_orders(lake: Lake, name: str) -> BatchHandler:
     """Bring each order's customer columns to the newest change."""
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
-        record(lake.metrics, name, writer, batch_id, "silver_customers_orders", batch.count())
+        rows = batch.count()
+        record(lake.metrics, name, writer, batch_id, "silver_customers_orders", rows)
+        if not rows:
+            return
         effective = batch.filter(F.col("_change_type").isin(_EFFECTIVE_CHANGES))
         newest = newest_with_ties(effective, ["order_id", "customer_id"], "_commit_timestamp")
         source = newest.drop("_commit_version").withColumnRenamed("_commit_timestamp", "processed_timestamp")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierstream import schemas
-from tierstream.operators.merge import Policy, change_rows, merge_rows
+from tierstream.operators.merge import Policy, change_rows, key_summary, merge_rows
 from tierstream.sources import files
 
 
@@ -87,7 +87,7 @@ class MergeTable:
     path: str
     schema: str
     bucket_by: tuple[str, ...]
-    buckets: int = 16
+    buckets: int
     settled: str | None = None
     change_feed: bool = False
     cluster_by: tuple[str, ...] = ()
@@ -143,7 +143,7 @@ class MergeTable:
     def touched(self, rows: DataFrame, head: Head | None = None) -> list[int]:
         """The buckets some rows belong to: at most one number per bucket of the table."""
         bucket = self._bucket((head or self.head()).buckets)
-        return [found[0] for found in rows.select(bucket).distinct().collect()]
+        return rows.agg(F.collect_set(bucket).alias("found")).first()["found"]
 
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.hash(*[F.expr(e) for e in self.bucket_by]), F.lit(buckets)).alias("bucket")
@@ -163,9 +163,11 @@ class MergeTable:
         source = source.persist()
         held = [source]
         try:
-            touched = self.touched(source, head)
+            # One job: the buckets (at most one number each) and whether keys repeat.
+            summary = key_summary(source, policy, self._bucket(head.buckets)).first()
+            touched = summary["values0"]
             if touched:
-                merged = merge_rows(self._live(head, touched), source, policy, held)
+                merged = merge_rows(self._live(head, touched), source, policy, summary["repeated"], held)
                 if self.change_feed or self.settled:
                     merged = merged.persist()
                     held.append(merged)
