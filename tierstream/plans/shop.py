@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from tierstream.plans.lake import Lake
 from tierstream.sources import files
-from tierstream.sources.topics import to_envelope
+from tierstream.sources.topics import envelope
 
 # Lines read by one task that may end up in one order document. A usual order is far
 # smaller and stays whole; an order with a third of all lines becomes many documents.
-LINES_PER_DOCUMENT = 100_000
+LINES_PER_DOCUMENT = 250_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,15 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return rows.withColumns({name: F.col(name).cast("timestamp") for name in zoneless})
 
 
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """Rows of a table stored in fewer splits than there are cores, dealt to all cores.
+
+    Larger tables, the ones whose shuffling would cost something, stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -48,7 +57,8 @@ def cents(column: str) -> Column:
 
 def money(amount: Column) -> Column:
     """Cents as text with a currency sign, two decimals."""
-    return F.format_string("$%d.%02d", F.floor(amount / 100), F.pmod(amount, F.lit(100)))
+    whole, rest = F.floor(amount / 100), amount % 100
+    return F.concat(F.lit("$"), whole.cast("string"), F.lit("."), F.lpad(rest.cast("string"), 2, "0"))
 
 
 def at(moment: str) -> Column:
@@ -119,7 +129,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         order_quantity().alias("quantity"),
         total.alias("subtotal"),
     )
-    return table(spark, folder, "orders").select(
+    return dealt_out(table(spark, folder, "orders")).select(
         text("o_orderkey").alias("order_id"),
         order_time().alias("order_timestamp"),
         text("o_custkey").alias("customer_id"),
@@ -140,27 +150,38 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     task. ``order_number`` undoes the split in the id.
     """
     stretch = F.floor(F.monotonically_increasing_id() / LINES_PER_DOCUMENT)
-    lines = (
-        table(spark, folder, "lineitem")
-        .select(
-            "l_orderkey",
-            F.struct(
-                text("l_partkey").alias("book_id"),
-                F.col("l_quantity").cast("bigint").alias("quantity"),
-                money(cents("l_extendedprice")).alias("subtotal"),
-            ).alias("line"),
-        )
-        .withColumn("stretch", stretch)
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        F.struct(
+            "l_partkey",
+            F.col("l_quantity").cast("bigint").alias("quantity"),
+            cents("l_extendedprice").alias("cents"),
+        ).alias("line"),
+        stretch.alias("stretch"),
+    )
+    # Collecting shrinks nothing, so rows are shuffled first and collected once, after it.
+    # Numbers travel through the shuffle; they become text behind it.
+    nested = (
+        lines.repartition("l_orderkey", "stretch")
+        .groupBy("l_orderkey", "stretch")
+        .agg(F.collect_list("line").alias("lines"))
+    )
+    as_text = F.transform(
+        F.coalesce("lines", F.array().cast(nested.schema["lines"].dataType)),
+        lambda line: F.struct(
+            line["l_partkey"].cast("string").alias("book_id"),
+            line["quantity"].alias("quantity"),
+            money(line["cents"]).alias("subtotal"),
+        ),
     )
-    nested = lines.groupBy("l_orderkey", "stretch").agg(F.collect_list("line").alias("books"))
-    header = table(spark, folder, "orders")
+    header = dealt_out(table(spark, folder, "orders"))
     return header.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.concat_ws("/", text("o_orderkey"), F.col("stretch").cast("string")).alias("order_id"),
         order_time().alias("order_timestamp"),
         text("o_custkey").alias("customer_id"),
         order_quantity().alias("quantity"),
         money(cents("o_totalprice")).alias("total"),
-        F.coalesce("books", F.array().cast(nested.schema["books"].dataType)).alias("books"),
+        as_text.alias("books"),
     )
 
 
@@ -170,5 +191,5 @@ def order_number(order_id: str = "order_id") -> Column:
 
 def send(lake: Lake, topic: str, documents: DataFrame, key: str) -> None:
     """Put documents into a bronze table as a topic's next messages."""
-    lines = documents.select(F.to_json(F.struct("*")).alias("value"))
-    to_envelope(lines, key, topic).write.mode("append").parquet(lake.path("bronze", topic))
+    messages = documents.select(F.col(key).alias("key"), F.to_json(F.struct("*")).alias("value"))
+    envelope(messages, topic).write.mode("append").parquet(lake.path("bronze", topic))

@@ -35,10 +35,15 @@ def to_envelope(lines: DataFrame, key_column: str, topic: str, count: int = 0) -
     """JSON lines (column ``value``) as keyed messages; ``count`` 0 takes all of them."""
     if count > 0:
         lines = lines.limit(count)
-    text = F.col("value")
-    return lines.select(
-        F.get_json_object(text, f"$.{key_column}").cast("binary").alias("key"),
-        text.cast("binary").alias("value"),
+    key = F.get_json_object("value", f"$.{key_column}")
+    return envelope(lines.select(key.alias("key"), "value"), topic)
+
+
+def envelope(messages: DataFrame, topic: str) -> DataFrame:
+    """Key and value texts in the shape of a topic's messages."""
+    return messages.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.spark_partition_id().alias("partition"),
         # Unique and rising within a partition, not gapless: that would need one task.
