@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -96,16 +96,9 @@ AUTHOR_WINDOWS = Policy(on=(("time", "time"), ("author", "author")), matched=(Cl
 # --- merge on plain frames ---------------------------------------------------
 
 
-def has_repeated_keys(source: DataFrame, policy: Policy) -> bool:
-    """Whether several source rows share a complete match key."""
-    return bool(key_summary(source, policy).first()["repeated"])
-
-
 def key_summary(source: DataFrame, policy: Policy, *extra: Column) -> DataFrame:
-    """One row: whether match keys repeat, and the distinct values of ``extra``.
-
-    The extra values must depend on the match key or be few.
-    """
+    """One row: do complete match keys repeat, are some incomplete, and the distinct
+    values of each of ``extra`` (``values0`` and so on), of which there must be few."""
     keys = [F.expr(expression) for _, expression in policy.on]
     per_key = source.groupBy(
         *[key.alias(f"key{i}") for i, key in enumerate(keys)], *[e.alias(f"extra{i}") for i, e in enumerate(extra)]
@@ -113,6 +106,7 @@ def key_summary(source: DataFrame, policy: Policy, *extra: Column) -> DataFrame:
     complete = _all([F.col(f"key{i}").isNotNull() for i in range(len(keys))])
     return per_key.agg(
         F.coalesce(F.bool_or(F.col("several") & complete), F.lit(False)).alias("repeated"),
+        F.coalesce(F.bool_or(~complete), F.lit(False)).alias("incomplete"),
         *[F.collect_set(f"extra{i}").alias(f"values{i}") for i in range(len(extra))],
     )
 
@@ -121,7 +115,7 @@ def merge_rows(
     target: DataFrame,
     source: DataFrame,
     policy: Policy,
-    repeated: bool | None = None,
+    summary: Row | None = None,
     held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Pair target and source rows and decide what becomes of each pair.
@@ -129,8 +123,8 @@ def merge_rows(
     Returns ``t`` (target row or null), ``action`` (keep, insert, update, delete)
     and ``after`` (resulting row, null for delete): each target row once, plus one
     row per source row that matched nothing. ``source`` should be persisted;
-    ``repeated`` spares a look at its keys. Frames persisted here are added to
-    ``held`` for the caller to release.
+    ``summary`` is its :func:`key_summary` row if known. Frames persisted here are
+    added to ``held`` for the caller to release.
 
     Rows that cannot match, because a key is null or the target row is not
     eligible, stay out of the join, so they never gather in one task.
@@ -147,20 +141,18 @@ def merge_rows(
     inside = target_rows.filter(target_can_match)
     keyed = source_rows.filter(source_can_match)
     same_keys = _all([t == s for t, s in zip(target_keys, source_keys)])
-    if repeated is None:
-        repeated = has_repeated_keys(source, policy)
-    if not repeated:
+    if summary is None:
+        summary = key_summary(source, policy).first()
+    if not summary["repeated"]:
         pairs = inside.join(keyed, same_keys, "full")
     else:
         pairs = _pair_repeated(inside, keyed, same_keys, policy, held if held is not None else [])
 
-    no_target = F.lit(None).cast(target_rows.schema["t"].dataType).alias("t")
     no_source = F.lit(None).cast(source_rows.schema["s"].dataType).alias("s")
-    every = (
-        pairs.select("t", "s")
-        .unionByName(source_rows.filter(~source_can_match).select(no_target, "s"))
-        .unionByName(target_rows.filter(~target_can_match).select("t", no_source))
-    )
+    every = pairs.select("t", "s").unionByName(target_rows.filter(~target_can_match).select("t", no_source))
+    if summary["incomplete"]:
+        no_target = F.lit(None).cast(target_rows.schema["t"].dataType).alias("t")
+        every = every.unionByName(source_rows.filter(~source_can_match).select(no_target, "s"))
     decided = every.withColumn("rule", _rule(policy))
     return decided.select("t", _action(policy).alias("action"), _after(policy, target).alias("after"))
 

@@ -446,7 +446,8 @@ def authors_stats_window(spark: SparkSession, folder: str) -> DataFrame:
 def authors_stats_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Every window is opened by one batch and updated by the next."""
     lake = new_lake(spark, "authors_stats_upsert")
-    lines = silver.as_schema(_lines(spark, folder), schemas.BOOKS_ORDERS)
+    silver.as_schema(_lines(spark, folder), schemas.BOOKS_ORDERS).write.parquet(lake.path("inbox", "lines"))
+    lines = spark.read.schema(schemas.BOOKS_ORDERS).parquet(lake.path("inbox", "lines"))
     half = F.pmod(F.hash("order_id", "books.book_id", "books.subtotal"), F.lit(2))
     for part in (0, 1):
         lake.books_orders.append(lines.filter(half == part), "lines", part)

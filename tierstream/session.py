@@ -16,16 +16,13 @@ _UNSET_SHUFFLE_PARTITIONS = "200"
 def pipeline_session(spark: SparkSession) -> SparkSession:
     """A session on the same application with the settings the jobs rely on.
 
-    The caller's session is left alone. A shuffle partition count the caller chose
-    is kept; otherwise it follows the cluster's cores, because streaming state
-    fixes the number at its first start.
+    The caller's session is left alone. A shuffle partition count the caller chose is
+    kept; choose it for the full data, because streaming state fixes the number at its
+    first start. Otherwise it is at least the number of cores, locally exactly that.
     """
     session = spark.newSession()
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    if partitions == _UNSET_SHUFFLE_PARTITIONS:
-        partitions = str(max(spark.sparkContext.defaultParallelism, 1))
     settings = {
-        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.shuffle.partitions": _shuffle_partitions(spark),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -41,6 +38,18 @@ def pipeline_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def _shuffle_partitions(spark: SparkSession) -> str:
+    chosen = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    if chosen != _UNSET_SHUFFLE_PARTITIONS:
+        return chosen
+    return str(cores if _is_local(spark) else max(cores, int(chosen)))
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 @contextlib.contextmanager
 def adaptive(session: SparkSession) -> Iterator[None]:
     """Adaptive execution for the batch jobs inside a foreachBatch callback.
@@ -61,7 +70,7 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder all executors can reach, under ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         base = tempfile.mkdtemp(prefix="tierstream-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

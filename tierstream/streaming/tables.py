@@ -163,11 +163,11 @@ class MergeTable:
         source = source.persist()
         held = [source]
         try:
-            # One job: the buckets (at most one number each) and whether keys repeat.
+            # One job: the state of the keys, and the buckets, at most one number each.
             summary = key_summary(source, policy, self._bucket(head.buckets)).first()
             touched = summary["values0"]
             if touched:
-                merged = merge_rows(self._live(head, touched), source, policy, summary["repeated"], held)
+                merged = merge_rows(self._live(head, touched), source, policy, summary, held)
                 if self.change_feed or self.settled:
                     merged = merged.persist()
                     held.append(merged)
@@ -186,7 +186,7 @@ class MergeTable:
             feed = change_rows(merged).withColumns(
                 {"_commit_version": F.lit(version).cast("bigint"), "_commit_timestamp": F.lit(at)}
             )
-            self.changes.append(feed, "version", version)
+            self.changes.append(feed.hint("rebalance"), "version", version)
 
         rows = merged.filter("action <> 'delete'").select("after.*").withColumn("bucket", self._bucket(head.buckets))
         settled = list(head.settled)
