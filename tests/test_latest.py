@@ -1,5 +1,5 @@
 from tests.helpers import day, rows
-from tierstream.operators.dedup import first_arrivals, rows_not_in
+from tierstream.operators.dedup import first_arrivals, rows_not_in, time_span
 from tierstream.operators.latest import newest_per_key, newest_with_ties
 
 
@@ -45,6 +45,11 @@ def test_rows_not_in_ignores_null_keys(spark):
     schema = "id STRING, at TIMESTAMP"
     source = spark.createDataFrame([("a", day(1)), ("a", day(9)), ("b", None)], schema)
     target = spark.createDataFrame([("a", day(1)), ("a", day(1)), ("b", None), ("c", day(5))], schema)
-    assert rows(rows_not_in(source, target, ["id", "at"], "at")) == [("a", day(9)), ("b", None)]
-    only_null = source.filter("at IS NULL")
-    assert rows(rows_not_in(only_null, target, ["id", "at"], "at")) == [("b", None)]
+
+    def new(frame):
+        count, first, last = time_span(frame, "at")
+        assert count == frame.count()
+        return rows(rows_not_in(frame, target, ["id", "at"], "at", first, last))
+
+    assert new(source) == [("a", day(9)), ("b", None)]
+    assert new(source.filter("at IS NULL")) == [("b", None)]

@@ -172,6 +172,15 @@ def test_authors_stats_and_late_rows(lake):
     assert counts() == [("10:00", 3, 4.0), ("10:10", 1, 4.0), ("11:55", 1, 4.0), ("12:00", 2, 4.0)]
 
 
+def test_pace_cuts_a_backlog_into_batches(spark, lake):
+    for number in range(3):
+        send(lake, "books", book(f"b{number}"))
+    paced = Lake(spark, lake.root, buckets=2, pace={"maxFilesPerTrigger": "1"})
+    drain(silver.silver_books(paced, DRAIN))
+    assert rows(lake.metrics.read(), "batch_id", "source_rows") == [(0, 1), (1, 1), (2, 1)]
+    assert rows(lake.books.read(), "book_id") == [("b0",), ("b1",), ("b2",)]
+
+
 def test_metrics(lake):
     send(lake, "books", book("b1"), book("b2"))
     drain(silver.silver_books(lake, DRAIN, name="books_writer"))

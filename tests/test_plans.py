@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tests.helpers import day
 from tierstream import schemas
-from tierstream.operators.dedup import rows_not_in
+from tierstream.operators.dedup import rows_not_in, time_span
 from tierstream.operators.joins import broadcast_if_small
 from tierstream.operators.latest import newest_per_key
 from tierstream.operators.merge import CUSTOMER_STATE, merge_rows
@@ -55,7 +55,9 @@ def test_aggregates_combine_before_the_shuffle(raw_spark):
 def test_insert_only_reads_the_batch_time_span(spark, tmp_path):
     frame = spark.createDataFrame([("a", day(1)), ("b", day(9))], "order_id STRING, order_timestamp TIMESTAMP")
     frame.write.parquet(str(tmp_path / "t"))
-    text = plan(rows_not_in(frame, spark.read.parquet(str(tmp_path / "t")), ["order_id", "order_timestamp"], "order_timestamp"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    _, first, last = time_span(frame, "order_timestamp")
+    text = plan(rows_not_in(frame, stored, ["order_id", "order_timestamp"], "order_timestamp", first, last))
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
     assert "GreaterThanOrEqual(order_timestamp" in pushed and "LessThanOrEqual(order_timestamp" in pushed
 

@@ -54,15 +54,22 @@ def first_arrivals(
     return thin(rows, keys)
 
 
-def rows_not_in(source: DataFrame, target: DataFrame, keys: list[str], time_key: str) -> DataFrame:
+def time_span(rows: DataFrame, time_column: str) -> tuple[int, int | None, int | None]:
+    """Row count and first and last time in microseconds: one pass, one row."""
+    at = F.unix_micros(F.col(time_column))
+    return tuple(rows.agg(F.count("*"), F.min(at), F.max(at)).first())
+
+
+def rows_not_in(
+    source: DataFrame, target: DataFrame, keys: list[str], time_key: str, first: int | None, last: int | None
+) -> DataFrame:
     """Source rows whose keys are not in the target; a null key is never found there.
 
-    Only the span of ``time_key`` the source covers is read from the target, which
-    skips files and row groups by their statistics. Two numbers reach the driver.
+    ``first`` and ``last`` are the source's :func:`time_span`. Only that span of
+    ``time_key`` is read from the target, which skips files and row groups by their
+    statistics.
     """
-    at = F.unix_micros(F.col(time_key))
-    first, last = source.agg(F.min(at), F.max(at)).first()
-    if first is None:
+    if first is None or last is None:
         return source
     span = F.col(time_key).between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
     known = target.filter(span).select(*keys).distinct()

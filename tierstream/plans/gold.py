@@ -32,7 +32,7 @@ def gold_authors_stats(
     name: str = "gold_authors_stats",
 ) -> StreamingQuery:
     """Rows later than the watermark allows are dropped, others update their window."""
-    lines = lake.books_orders.stream().withWatermark("order_timestamp", watermark)
+    lines = lake.books_orders.stream(**lake.pace).withWatermark("order_timestamp", watermark)
     checkpoint = lake.checkpoint("gold", "gold_authors_stats")
     return for_each_batch(
         authors_stats(lines, window), upsert_authors_stats(lake, name), checkpoint, name, trigger, mode="update"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +18,9 @@ class Lake:
 
     ``buckets`` is the number of hash buckets of the merged tables, by default one per
     shuffle partition. It is fixed when a table is first written, so choose it for the
-    size the table will reach.
+    size the table will reach. ``pace`` holds source options for every stream over
+    these tables, such as ``maxBytesPerTrigger``: without one, a stream that starts on a
+    backlog takes all of it as its first batch.
     """
 
     spark: SparkSession
@@ -26,6 +28,7 @@ class Lake:
     checkpoint_root: str | None = None
     env: str | None = None
     buckets: int | None = None
+    pace: dict[str, str] = field(default_factory=dict)
 
     def path(self, layer: str, name: str) -> str:
         base = f"{self.root}/{self.env}" if self.env else self.root
@@ -47,7 +50,7 @@ class Lake:
 
     def topic(self, name: str) -> DataFrame:
         """A bronze topic table as a stream."""
-        return self.spark.readStream.schema(schemas.ENVELOPE).parquet(self.path("bronze", name))
+        return self.spark.readStream.schema(schemas.ENVELOPE).options(**self.pace).parquet(self.path("bronze", name))
 
     @property
     def country_lookup(self) -> DataFrame:
@@ -111,7 +114,7 @@ class CatalogLake(Lake):
         return CatalogTable(self.spark, Namespace(layer, self.env).table(name))
 
     def topic(self, name: str) -> DataFrame:
-        return self._table("bronze", name).stream()
+        return self._table("bronze", name).stream(**self.pace)
 
     @property
     def country_lookup(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from tierstream import schemas
 from tierstream.operators.clean import keep_usable_keys, parse_payload, price_to_number
-from tierstream.operators.dedup import drop_known_rows, first_arrivals, rows_not_in
+from tierstream.operators.dedup import drop_known_rows, first_arrivals, rows_not_in, time_span
 from tierstream.operators.history import with_merge_keys
 from tierstream.operators.joins import add_country, changes_with_orders, lines_with_books
 from tierstream.operators.latest import newest_per_key, newest_with_ties
@@ -117,10 +117,11 @@ def insert_orders(lake: Lake, name: str) -> BatchHandler:
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
         orders = as_schema(clean_subtotals(batch), schemas.ORDERS)
-        rows = orders.count()
+        rows, first, last = time_span(orders, "order_timestamp")
         record(lake.metrics, name, writer, batch_id, "silver_orders", rows)
         if rows:
-            new = rows_not_in(orders, lake.orders.read(), ["order_id", "order_timestamp"], "order_timestamp")
+            keys = ["order_id", "order_timestamp"]
+            new = rows_not_in(orders, lake.orders.read(), keys, "order_timestamp", first, last)
             lake.orders.append(new, writer, batch_id)
 
     return handle
@@ -148,7 +149,8 @@ def silver_books_orders(
     lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_books_orders"
 ) -> StreamingQuery:
     checkpoint = lake.checkpoint("silver", "silver_books_orders")
-    return for_each_batch(lake.orders.stream(), append_books_orders(lake), checkpoint, name, trigger)
+    orders = lake.orders.stream(**lake.pace)
+    return for_each_batch(orders, append_books_orders(lake), checkpoint, name, trigger, reread=False)
 
 
 # --- orders with customers ---------------------------------------------------
@@ -178,8 +180,8 @@ def customers_orders_stream(
     within: str | None = None,
 ) -> DataFrame:
     """Customer changes joined with orders, both as streams."""
-    changes = lake.customers.changes.stream().withWatermark("row_time", customers_watermark)
-    orders = lake.orders.stream().withWatermark("order_timestamp", orders_watermark)
+    changes = lake.customers.changes.stream(**lake.pace).withWatermark("row_time", customers_watermark)
+    orders = lake.orders.stream(**lake.pace).withWatermark("order_timestamp", orders_watermark)
     return changes_with_orders(changes, orders, salts, within)
 
 

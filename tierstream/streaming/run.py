@@ -61,18 +61,22 @@ def for_each_batch(
     name: str,
     trigger: Trigger = Trigger(),
     mode: str = "append",
+    reread: bool = True,
 ) -> StreamingQuery:
-    """Hand every micro-batch, persisted, to ``handle``. Errors end the query."""
+    """Hand every micro-batch to ``handle``, persisted if that will read it more than
+    once (``reread``). Errors end the query."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch.persist()
+        if reread:
+            batch.persist()
         try:
             with adaptive(session):
                 handle(batch, writer, batch_id)
         finally:
-            batch.unpersist()
+            if reread:
+                batch.unpersist()
 
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).queryName(name)
     return trigger.on(writer.foreachBatch(on_batch)).start()

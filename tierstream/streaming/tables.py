@@ -54,7 +54,10 @@ class AppendTable:
         if self.cluster_by:
             rows = rows.sortWithinPartitions(*self.cluster_by)
         rows.write.parquet(staged)
-        return files.publish(self.spark, staged, self._folder(writer, batch_id))
+        published = files.publish(self.spark, staged, self._folder(writer, batch_id))
+        if not published:
+            files.remove(self.spark, staged)
+        return published
 
     def _folder(self, writer: str, batch_id: int) -> str:
         return f"{self.path}/batch-{writer}-{batch_id:012d}"
