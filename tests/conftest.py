@@ -7,11 +7,11 @@ from tierstream.session import pipeline_session
 @pytest.fixture(scope="session")
 def raw_spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("tierstream-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

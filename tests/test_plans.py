@@ -99,7 +99,7 @@ def test_large_orders_are_split_without_losing_lines(spark, monkeypatch, tmp_pat
 
 def test_settings(raw_spark):
     session = pipeline_session(raw_spark)
-    assert session.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "2"
     base = raw_spark.conf.get("spark.checkpoint.dir")
     assert working_folder(session, "x").startswith(base)
     assert working_folder(session, "x") != working_folder(session, "x")
