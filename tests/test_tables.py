@@ -81,6 +81,18 @@ def test_only_touched_buckets_are_rewritten(spark, table):
     assert len(state(table)) == 50
 
 
+def test_batch_without_effect_rewrites_nothing(spark, table):
+    table.merge(source(spark, *[(f"k{i}", 5) for i in range(50)]), UPSERT, "w", 0)
+    before = table.head()
+    table.merge(source(spark, *[(f"k{i}", 5 + (i == 7)) for i in range(50)]), UPSERT, "w", 1)
+    assert sorted(table.head().live.values()) == [0, 0, 0, 1]
+    table.merge(source(spark, *[(f"k{i}", 3) for i in range(50)]), UPSERT, "w", 2)
+    assert table.head().version == 2 and sorted(table.head().live.values()) == [0, 0, 0, 1]
+    assert before.live.keys() == table.head().live.keys()
+    assert table.changes.read().filter("_commit_version = 2").count() == 0
+    assert len(state(table)) == 50
+
+
 def test_bucket_can_become_empty_and_fill_again(spark, table):
     table.merge(source(spark, ("a", 1)), UPSERT, "w", 0)
     table.merge(source(spark, ("a", -1)), UPSERT, "w", 1)

@@ -30,6 +30,8 @@ def pipeline_session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # One store per stream join and partition where the older layout has four.
+        "spark.sql.streaming.join.stateFormatVersion": "3",
         # Counting all state rows needs an extra lookup on every write.
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     }

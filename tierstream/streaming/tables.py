@@ -185,34 +185,46 @@ class MergeTable:
         at = datetime.now(UTC)
         if head.committed_at:
             at = max(at, datetime.fromisoformat(head.committed_at) + timedelta(milliseconds=1))
-        if self.change_feed:
+        rows = (
+            merged.select("action", F.coalesce("after", "t").alias("row"))
+            .select("action", "row.*")
+            .withColumn("bucket", self._bucket(head.buckets))
+        )
+        settled = F.coalesce(F.expr(self.settled or "false"), F.lit(False)) & (F.col("action") != "delete")
+        changed, settles = touched, False
+        if self.change_feed or self.settled:
+            # One pass over the persisted merge: which buckets really change?
+            changed, settles = rows.agg(
+                F.collect_set(F.when(F.col("action") != "keep", F.col("bucket"))),
+                F.coalesce(F.bool_or(settled), F.lit(False)),
+            ).first()
+
+        if self.change_feed and changed:
             feed = change_rows(merged).withColumns(
                 {"_commit_version": F.lit(version).cast("bigint"), "_commit_timestamp": F.lit(at)}
             )
             self.changes.append(feed.hint("rebalance"), "version", version)
-
-        rows = merged.filter("action <> 'delete'").select("after.*").withColumn("bucket", self._bucket(head.buckets))
-        settled = list(head.settled)
-        if self.settled:
-            done = rows.filter(self.settled)
-            rows = rows.filter(~F.coalesce(F.expr(self.settled), F.lit(False)))
-            if not done.isEmpty():
-                done.hint("rebalance", "bucket").sortWithinPartitions("bucket").write.mode("overwrite").parquet(
-                    f"{self.path}/settled/v={version}"
-                )
-                settled.append(version)
-
+        segments = list(head.settled)
+        if settles:
+            done = rows.filter(settled).drop("action").hint("rebalance", "bucket")
+            done.sortWithinPartitions("bucket").write.mode("overwrite").parquet(f"{self.path}/settled/v={version}")
+            segments.append(version)
+        live = dict(head.live)
+        if changed:
+            kept = rows.filter((F.col("action") != "delete") & ~settled).drop("action")
+            if len(changed) < len(touched):
+                kept = kept.filter(F.col("bucket").isin(changed))
+            self._write_buckets(kept, version)
+            for bucket in changed:
+                live.pop(str(bucket), None)
+            names = files.children(self.spark, f"{self.path}/data/v={version}")
+            live.update({name.removeprefix("bucket="): version for name in names if name.startswith("bucket=")})
+        self._commit(Head(version, head.buckets, live, segments, writer, batch_id, at.isoformat()))
+
+    def _write_buckets(self, rows: DataFrame, version: int) -> None:
         # Rebalancing splits an oversized bucket over tasks and joins small ones.
-        target = f"{self.path}/data/v={version}"
-        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *self.cluster_by).write.mode(
-            "overwrite"
-        ).partitionBy("bucket").parquet(target)
-
-        rewritten = {str(bucket) for bucket in touched}
-        live = {bucket: v for bucket, v in head.live.items() if bucket not in rewritten}
-        written = [name for name in files.children(self.spark, target) if name.startswith("bucket=")]
-        live.update({name.removeprefix("bucket="): version for name in written})
-        self._commit(Head(version, head.buckets, live, settled, writer, batch_id, at.isoformat()))
+        ordered = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *self.cluster_by)
+        ordered.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={version}")
 
     def _commit(self, head: Head) -> None:
         staged = f"{self.path}/heads/_{uuid.uuid4().hex}"
