@@ -3,10 +3,6 @@
 from datetime import datetime
 
 
-def ts(text):
-    return datetime.fromisoformat(text) if text else None
-
-
 def rows(frame, *columns):
     """All rows as sorted tuples; nulls first."""
     picked = frame.select(*columns) if columns else frame

@@ -264,6 +264,15 @@ def test_author_windows(spark, lake):
     ]
 
 
+def test_recent_windows_leave_old_buckets_alone(spark, tmp_path):
+    table = Lake(spark, str(tmp_path), buckets=64).create().authors_stats
+    old = windows(spark, *[(d, author, 1) for d in range(1, 28) for author in "abc"])
+    table.merge(old, AUTHOR_WINDOWS, "test", 0)
+    table.merge(windows(spark, (27, "a", 9), (27, "b", 9), (27, "z", 9)), AUTHOR_WINDOWS, "test", 1)
+    assert sorted(table.head().live.values()).count(1) == 1
+    assert table.read().count() == 27 * 3 + 1
+
+
 # --- merge_rows itself -------------------------------------------------------
 
 

@@ -83,7 +83,8 @@ class Lake:
     def customers_orders(self) -> MergeTable:
         return MergeTable(
             self.spark, self.path("silver", "silver_customers_orders"), schemas.CUSTOMERS_ORDERS,
-            bucket_by=("order_id", "customer_id"), buckets=self.bucket_count,
+            # A changed customer touches one bucket, however many orders it has.
+            bucket_by=("customer_id",), buckets=self.bucket_count,
             cluster_by=("order_id", "customer_id", "processed_timestamp"),
         )
 
@@ -95,7 +96,8 @@ class Lake:
     def authors_stats(self) -> MergeTable:
         return MergeTable(
             self.spark, self.path("gold", "gold_authors_stats"), schemas.AUTHORS_STATS,
-            bucket_by=("time.start", "author"), buckets=self.bucket_count,
+            # Open windows are recent: a batch touches the buckets of a few hours.
+            bucket_by=("date_trunc('HOUR', time.start)",), buckets=self.bucket_count,
         )
 
     @property

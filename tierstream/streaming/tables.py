@@ -81,7 +81,8 @@ class MergeTable:
     """A table changed by merge policies, one writer at a time.
 
     ``bucket_by`` are SQL expressions over the row that are equal whenever the match
-    keys are; aim for buckets of about a gigabyte. Rows fulfilling ``settled`` (SQL)
+    keys are, best such that one batch falls into few buckets; aim for buckets of about
+    a gigabyte. Rows fulfilling ``settled`` (SQL)
     can never match again: they leave the buckets for append-only segments, so a
     long history of one key is neither rewritten nor shuffled.
     """
