@@ -114,9 +114,9 @@ def _probe(block: int, buckets: int):
     return probe
 
 
-def _match(lists: pa.Table) -> pa.Table:
+def _match(table: pa.Table) -> pa.Table:
     """To each segment, its hashes that another segment has too and some segment indexed."""
-    found = [B.load(x) for x in lists["keys"].to_pylist()]
+    found = [B.load(x) for x in table["keys"].to_pylist()]
     if len(found) < 2:
         return lists([])
     keys, indexed = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -125,13 +125,13 @@ def _match(lists: pa.Table) -> pa.Table:
     shared = (sizes > 1) & (np.add.reduceat(indexed[order], starts) > 0)
     hot = np.zeros(len(keys), bool)
     hot[order] = np.repeat(shared, sizes)
-    return _replies(lists, found, hot)
+    return _replies(table, found, hot)
 
 
-def _replies(lists: pa.Table, found: list[list[np.ndarray]], wanted: np.ndarray) -> pa.Table:
+def _replies(table: pa.Table, found: list[list[np.ndarray]], wanted: np.ndarray) -> pa.Table:
     rows, low = [], 0
     for bucket, segment, own in zip(
-        lists["bucket"].to_pylist(), lists["segment"].to_pylist(), found, strict=True
+        table["bucket"].to_pylist(), table["segment"].to_pylist(), found, strict=True
     ):
         mask = wanted[low : low + len(own[0])]
         low += len(own[0])
@@ -167,10 +167,10 @@ def _extend(window: int, block: int, buckets: int):
     return extend
 
 
-def _confirm(lists: pa.Table) -> pa.Table:
+def _confirm(table: pa.Table) -> pa.Table:
     """To each segment, its windows of which an earlier document elsewhere is the first."""
     found = []
-    for blob in lists["keys"].to_pylist():
+    for blob in table["keys"].to_pylist():
         keys, check, holder = B.load(blob[8:])
         found.append([keys, check, holder + np.frombuffer(blob, np.uint64, 1)[0]])
     if len(found) < 2:
@@ -184,7 +184,7 @@ def _confirm(lists: pa.Table) -> pa.Table:
     sizes = np.diff(np.append(starts, len(keys)))
     late = np.zeros(len(keys), bool)
     late[order] = holder > np.repeat(holder[starts], sizes)
-    return _replies(lists, found, late)
+    return _replies(table, found, late)
 
 
 def _remove(window: int, carries: bool):
