@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from tierstream.plans.oracles import ORACLES
+from tierstream.plans.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -25,11 +26,11 @@ def comparable(rows, names):
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(name, raw_spark, database):
-    frame = contract.queries()[name](raw_spark, FOLDER)
+    frame = QUERIES[name](raw_spark, FOLDER)
     got = [tuple(row) for row in frame.collect()]
-    relation = database.sql(contract.oracle_sql()[name])
+    relation = database.sql(ORACLES[name])
     assert sorted(frame.columns) == sorted(relation.columns)
     expected = relation.fetchall()
     assert len(got) == len(expected)
@@ -37,4 +38,4 @@ def test_query_matches_sql(name, raw_spark, database):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()

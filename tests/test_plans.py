@@ -97,6 +97,16 @@ def test_large_orders_are_split_without_losing_lines(spark, monkeypatch, tmp_pat
     documents.unpersist()
 
 
+def test_order_documents_do_not_depend_on_the_layout(spark, tmp_path):
+    for name, files in (("one", 1), ("six", 6)):
+        for table in ("orders", "lineitem"):
+            rows = spark.read.parquet(f"{FOLDER}/{table}.parquet")
+            rows.repartition(files).write.parquet(str(tmp_path / name / f"{table}.parquet"))
+    one, six = (shop.order_documents(spark, str(tmp_path / name)) for name in ("one", "six"))
+    assert one.exceptAll(six).isEmpty() and six.exceptAll(one).isEmpty()
+    assert one.count() == spark.read.parquet(f"{FOLDER}/orders.parquet").count()
+
+
 def test_settings(raw_spark):
     session = pipeline_session(raw_spark)
     assert session.conf.get("spark.sql.shuffle.partitions") == "2"

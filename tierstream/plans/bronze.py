@@ -23,4 +23,6 @@ def ingest_topic(
     if isinstance(lake, CatalogLake):
         table = Namespace("bronze", lake.env).table(topic)
         return append_to_table(rows, table, checkpoint, name, trigger, mode)
+    if mode != "append":
+        raise ValueError("a folder table can only be appended to")
     return append_to_folder(rows, lake.path("bronze", topic), checkpoint, name, trigger)

@@ -123,7 +123,7 @@ ORACLES: dict[str, str] = {
     "scd2_merge_keys": f"""
         WITH {_BOOK}, found AS (
             SELECT s.book_id, t.book_id AS target_book_id
-            FROM (SELECT * FROM book WHERE p_partkey % 2 = 0) s
+            FROM book s
             LEFT JOIN (SELECT * FROM book WHERE p_partkey % 3 = 0) t ON s.book_id = t.book_id),
         keyed AS (
             SELECT book_id, book_id AS merge_key, target_book_id FROM found

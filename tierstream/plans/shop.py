@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from tierstream.plans.lake import Lake
 from tierstream.sources import files
-from tierstream.sources.topics import envelope
+from tierstream.sources.topics import envelope, next_offset
 
-# Lines read by one task that may end up in one order document. A usual order is far
-# smaller and stays whole; an order with a third of all lines becomes many documents.
-LINES_PER_DOCUMENT = 250_000
+# Lines that one order document holds at most: a message size, so the same at every data
+# size. Orders up to it stay whole; larger ones become several documents with all lines.
+LINES_PER_DOCUMENT = 10_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,15 +38,6 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return rows.withColumns({name: F.col(name).cast("timestamp") for name in zoneless})
 
 
-def dealt_out(rows: DataFrame) -> DataFrame:
-    """Rows of a table stored in fewer splits than there are cores, dealt to all cores.
-
-    Larger tables, the ones whose shuffling would cost something, stay as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def text(column: str) -> Column:
     return F.col(column).cast("string")
 
@@ -129,7 +120,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         order_quantity().alias("quantity"),
         total.alias("subtotal"),
     )
-    return dealt_out(table(spark, folder, "orders")).select(
+    return table(spark, folder, "orders").select(
         text("o_orderkey").alias("order_id"),
         order_time().alias("order_timestamp"),
         text("o_custkey").alias("customer_id"),
@@ -146,10 +137,9 @@ ORDER_FIELDS = ["order_id", "order_timestamp", "customer_id", "quantity", "total
 def order_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with their line items nested; orders without lines have an empty array.
 
-    Lines are grouped by order and stretch of the input, so no group outgrows a
-    task. ``order_number`` undoes the split in the id.
+    Lines of a large order are dealt by their content, so documents do not depend on how
+    the table is stored. ``order_number`` undoes the split in the id.
     """
-    stretch = F.floor(F.monotonically_increasing_id() / LINES_PER_DOCUMENT)
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey",
         F.struct(
@@ -157,26 +147,35 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_quantity").cast("bigint").alias("quantity"),
             cents("l_extendedprice").alias("cents"),
         ).alias("line"),
-        stretch.alias("stretch"),
     )
-    # Collecting shrinks nothing, so rows are shuffled first and collected once, after it.
-    # Numbers travel through the shuffle; they become text behind it.
+    parts = lines.groupBy("l_orderkey").agg(F.ceil(F.count("*") / LINES_PER_DOCUMENT).alias("parts"))
     nested = (
-        lines.repartition("l_orderkey", "stretch")
-        .groupBy("l_orderkey", "stretch")
-        .agg(F.collect_list("line").alias("lines"))
+        lines.join(parts, "l_orderkey")
+        .groupBy("l_orderkey", F.pmod(F.xxhash64("line"), "parts").alias("part"))
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    )
+    # A part that chance or equal lines made larger than a document is cut once more.
+    cuts = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / LINES_PER_DOCUMENT).cast("int"))
+    nested = nested.select("l_orderkey", "part", "lines", F.explode(cuts).alias("cut")).select(
+        "l_orderkey",
+        F.concat_ws("-", "part", "cut").alias("part"),
+        F.slice("lines", F.col("cut") * LINES_PER_DOCUMENT + 1, LINES_PER_DOCUMENT).alias("lines"),
+    )
+    header = table(spark, folder, "orders")
+    same = F.col("o_orderkey") == F.col("l_orderkey")
+    empty = header.join(nested, same, "left_anti").select(
+        "*", F.lit("0-0").alias("part"), F.array().cast(nested.schema["lines"].dataType).alias("lines")
     )
     as_text = F.transform(
-        F.coalesce("lines", F.array().cast(nested.schema["lines"].dataType)),
+        "lines",
         lambda line: F.struct(
             line["l_partkey"].cast("string").alias("book_id"),
             line["quantity"].alias("quantity"),
             money(line["cents"]).alias("subtotal"),
         ),
     )
-    header = dealt_out(table(spark, folder, "orders"))
-    return header.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        F.concat_ws("/", text("o_orderkey"), F.col("stretch").cast("string")).alias("order_id"),
+    return header.join(nested, same).drop("l_orderkey").unionByName(empty).select(
+        F.concat_ws("/", text("o_orderkey"), "part").alias("order_id"),
         order_time().alias("order_timestamp"),
         text("o_custkey").alias("customer_id"),
         order_quantity().alias("quantity"),
@@ -192,4 +191,5 @@ def order_number(order_id: str = "order_id") -> Column:
 def send(lake: Lake, topic: str, documents: DataFrame, key: str) -> None:
     """Put documents into a bronze table as a topic's next messages."""
     messages = documents.select(F.col(key).alias("key"), F.to_json(F.struct("*")).alias("value"))
-    envelope(messages, topic).write.mode("append").parquet(lake.path("bronze", topic))
+    path = lake.path("bronze", topic)
+    envelope(messages, topic, next_offset(lake.spark, path)).write.mode("append").parquet(path)

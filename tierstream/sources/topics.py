@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstream import schemas
+from tierstream.sources import files
 
 
 def kafka_options(servers: str, user: str, password: str) -> dict[str, str]:
@@ -31,15 +32,24 @@ def folder_topic(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return reader.options(**options).parquet(path)
 
 
-def to_envelope(lines: DataFrame, key_column: str, topic: str, count: int = 0) -> DataFrame:
+def to_envelope(lines: DataFrame, key_column: str, topic: str, count: int = 0, first_offset: int = 0) -> DataFrame:
     """JSON lines (column ``value``) as keyed messages; ``count`` 0 takes all of them."""
     if count > 0:
         lines = lines.limit(count)
     key = F.get_json_object("value", f"$.{key_column}")
-    return envelope(lines.select(key.alias("key"), "value"), topic)
+    return envelope(lines.select(key.alias("key"), "value"), topic, first_offset)
 
 
-def envelope(messages: DataFrame, topic: str) -> DataFrame:
+def next_offset(spark: SparkSession, path: str) -> int:
+    """The first offset that no message of a folder topic has, in any partition."""
+    if not files.is_folder(spark, path):
+        return 0
+    highest = spark.read.schema(schemas.ENVELOPE).option("recursiveFileLookup", True).parquet(path).agg(F.max("offset"))
+    found = highest.first()[0]
+    return 0 if found is None else found + 1
+
+
+def envelope(messages: DataFrame, topic: str, first_offset: int = 0) -> DataFrame:
     """Key and value texts in the shape of a topic's messages."""
     return messages.select(
         F.col("key").cast("binary").alias("key"),
@@ -47,7 +57,7 @@ def envelope(messages: DataFrame, topic: str) -> DataFrame:
         F.lit(topic).alias("topic"),
         F.spark_partition_id().alias("partition"),
         # Unique and rising within a partition, not gapless: that would need one task.
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("offset"),
+        (F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + first_offset).alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
@@ -55,7 +65,8 @@ def envelope(messages: DataFrame, topic: str) -> DataFrame:
 
 def publish(spark: SparkSession, json_path: str, key_column: str, topic: str, path: str, count: int = 0) -> None:
     """Append a JSON-lines file to a folder topic."""
-    to_envelope(spark.read.text(json_path), key_column, topic, count).write.mode("append").parquet(path)
+    first = next_offset(spark, path)
+    to_envelope(spark.read.text(json_path), key_column, topic, count, first).write.mode("append").parquet(path)
 
 
 def publish_to_kafka(

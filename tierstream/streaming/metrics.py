@@ -8,18 +8,15 @@ from pyspark.sql import functions as F
 from tierstream import schemas
 from tierstream.streaming.tables import AppendTable
 
-# Fixed value: the zone of the local time column unless the caller names another.
-LOCAL_ZONE = "Europe/Riga"
-
 
 def metrics_table(spark: SparkSession, path: str) -> AppendTable:
     return AppendTable(spark, path, schemas.BATCH_METRICS)
 
 
 def record(
-    table: AppendTable, query: str, writer: str, batch_id: int, target: str, rows: int, zone: str = LOCAL_ZONE
+    table: AppendTable, query: str, writer: str, batch_id: int, target: str, rows: int, zone: str = "UTC"
 ) -> None:
-    """Note a batch before its merge; a repeated attempt adds nothing."""
+    """Note a batch, with its time in UTC and in ``zone``, before its merge; a repeated attempt adds nothing."""
     line = table.spark.range(1).select(
         F.lit(query).alias("query"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
