@@ -208,6 +208,8 @@ def test_bronze_from_a_published_file(spark, lake, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(lake.path("bronze", "books")).count() == 8
+    places = spark.read.parquet(inbox).select("partition", "offset")
+    assert places.distinct().count() == places.count() == 8
     drain(silver.silver_books(lake, DRAIN))
     assert lake.books.read().count() == 5
 

@@ -42,7 +42,7 @@ def to_envelope(lines: DataFrame, key_column: str, topic: str, count: int = 0, f
 
 def next_offset(spark: SparkSession, path: str) -> int:
     """The first offset that no message of a folder topic has, in any partition."""
-    if not files.is_folder(spark, path):
+    if not files.exists(spark, path):
         return 0
     highest = spark.read.schema(schemas.ENVELOPE).option("recursiveFileLookup", True).parquet(path).agg(F.max("offset"))
     found = highest.first()[0]
