@@ -170,7 +170,7 @@ def _search(k: int, dimension: int):
 
 def nearest(
     embeddings: DataFrame, every: int = 50, k: int = 5, sample: int = 32_768, per_list: int = 64,
-    beam: int = 128, spread: float = 0.1, replicas: int = 4, ratio: float = 1.35, block: int = 4_096,
+    beam: int = 128, spread: float = 0.1, replicas: int = 4, ratio: float = 1.5, block: int = 4_096,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``."""
     spark = embeddings.sparkSession
