@@ -7,8 +7,8 @@ that is smaller than what it has. The draws for j + 1 are made only while some s
 document is still above j + 1, so a long document stops after one draw per element.
 
 Signatures are cut into bands; documents that share a band are candidates, and every
-candidate link is confirmed on the full sets (56-bit shingle hashes). Documents with equal
-sets are one node, so a group of copies costs one row. Within a band the smallest document
+candidate link is confirmed on the full sets (56-bit shingle hashes). Documents with
+equal sets are one node, so a group of copies costs one row. Within a band the smallest document
 is compared with all others first; links found are joined by union-find, and only pairs of
 a band that are then still in different groups are compared with each other. With 32 bands
 of 4 slots a pair at similarity 0.75 is missed with a chance of 5 in a million.
@@ -33,6 +33,9 @@ from tierstream.session import working_folder
 SLOTS, ROWS = 128, 4
 _BYTES_AT_ONCE = 4_000_000
 _FRACTION = np.uint64(56)
+_STARS = 3  # rounds before all remaining pairs are compared
+_CROWDED, _BLOCK = 8, 128
+_COLUMNS = 16_384
 
 
 def signatures(elements: np.ndarray, owner: np.ndarray, docs: int, m: int = SLOTS) -> np.ndarray:
@@ -174,6 +177,57 @@ def _linked(percent: int):
     return linked
 
 
+def _trees(percent: int):
+    """Of each block of sets: every node with the smallest one that its links reach there."""
+
+    def trees(table: pa.Table) -> pa.Table:
+        nodes = B.ids(table["node"])
+        order = np.argsort(nodes, kind="stable")
+        nodes, blobs = nodes[order], table["elements"].take(pa.array(order)).to_pylist()
+        sets = [B.load(x)[0] for x in blobs]
+        sizes = np.array([len(x) for x in sets])
+        owner, elements = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+        by_value = np.argsort(elements, kind="stable")
+        _, counts = B.groups(elements[by_value])
+        shared = np.repeat(counts > 1, counts)
+        owner, column = owner[by_value][shared], np.repeat(np.cumsum(counts > 1) - 1, counts)[shared]
+        common = np.zeros((len(sets), len(sets)), np.float64)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            a, b = np.searchsorted(column, [low, low + _COLUMNS])
+            part = np.zeros((len(sets), _COLUMNS), np.float32)
+            part[owner[a:b], column[a:b] - low] = 1
+            common += part @ part.T
+        linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+        np.fill_diagonal(linked, True)
+        label = np.arange(len(sets))
+        while True:
+            least = np.where(linked, label[None, :], len(sets)).min(1)
+            if (least == label).all():
+                break
+            label = least
+        return pa.table({"a": nodes[label], "b": nodes})
+
+    return trees
+
+
+def _blockwise(crowd: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Links among the nodes of crowded bands: nodes that bands connect are cut into blocks,
+    and each pair of blocks is one task's work."""
+    heads = crowd.groupBy("band").agg(F.min("node").alias("a"))
+    clusters = connected(crowd.join(heads, "band").select("a", F.col("node").alias("b")), folder)
+    placed = (
+        crowd.select("node").distinct().join(clusters, "node", "left")
+        .select("node", F.coalesce("root", "node").alias("cluster"))
+    )
+    counts = placed.groupBy("cluster").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    each = (
+        placed.join(counts, "cluster").select("node", "cluster", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("node", "cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    )
+    return each.join(sets, "node").groupBy("cluster", "x", "y").applyInArrow(_trees(percent), "a long, b long").where("a <> b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links reach) and kept.
 
@@ -220,31 +274,59 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
             _linked(percent), "a long, b long"
         )
 
-    first = shared.where("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(confirmed(first), "links-1")
-    roots = connected(links, f"{folder}/groups-1")
-
-    # Pairs of a band that the first round left in different groups.
-    placed = (
-        shared.join(roots, "node", "left")
-        .select("band", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
+    # Star rounds: in each band, one node is compared with those of other groups. The first
+    # takes the smallest node, the second the one with most neighbours in all its bands, the
+    # others a random one that such nodes are more likely to be.
+    crowds = (
+        shared.join(shared.groupBy("band").agg(F.count("*").alias("size")), "band")
+        .groupBy("node").agg(F.sum("size").alias("crowd"))
     )
-    apart = (
-        placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").select("band")
-    )
-    rest = placed.join(apart, "band").select("band", "node", "n_shingles", "root")
-    x, y = rest.alias("x"), rest.alias("y")
-    second = (
-        x.join(y, F.expr(
-            "x.band = y.band AND x.node < y.node AND x.root <> y.root"
-            f" AND 100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)"
-        ))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    )
-    tried = first.select("a", "b")
-    links = links.unionByName(confirmed(second.join(tried, ["a", "b"], "left_anti")))
-    roots = connected(written(links, "links-2"), f"{folder}/groups-2")
+    shared = written(shared.drop("head").join(crowds, "node"), "neighbours")
+    links = tried = roots = None
+    for turn in range(_STARS + 1):
+        if roots is None:
+            placed = shared.withColumn("root", F.col("node"))
+        else:
+            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        per_band = (
+            placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+            .groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("groups"))
+            .where("groups > 1")
+        )
+        mixed = written(placed.join(per_band.select("band"), "band"), f"mixed-{turn}")
+        if mixed.isEmpty():
+            break
+        crowded = per_band.where(f"n * n - squares > {2 * _CROWDED} * n").select("band")
+        last = turn == _STARS
+        if last:  # all pairs of a band that are still in different groups
+            one = mixed.join(crowded, "band", "left_anti")
+        else:
+            weight = {0: -F.col("node"), 1: F.col("crowd")}.get(
+                turn, F.col("crowd") * F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20))
+            )
+            one = mixed.groupBy("band").agg(
+                F.max_by(F.struct("node", "n_shingles", "root"), F.struct(weight.alias("w"), "node")).alias("h")
+            ).select("band", "h.*")
+        x, y = one.alias("x"), mixed.alias("y")
+        candidates = (
+            x.join(y, F.expr(
+                f"x.band = y.band AND x.root <> y.root {'AND x.node < y.node' if last else ''}"
+                f" AND 100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)"
+            ))
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        )
+        if tried is not None:
+            candidates = candidates.join(tried, ["a", "b"], "left_anti")
+        candidates = written(candidates, f"pairs-{turn}")
+        found = confirmed(candidates)
+        if last:
+            found = found.unionByName(_blockwise(mixed.join(crowded, "band"), sets, percent, f"{folder}/clusters"))
+        found = written(found, f"links-{turn}")
+        links = found if links is None else links.unionByName(found)
+        tried = candidates if tried is None else tried.unionByName(candidates)
+        roots = connected(links, f"{folder}/groups-{turn}")
+    if roots is None:
+        roots = spark.createDataFrame([], "node long, root long")
 
     groups = nodes.join(roots, "node", "left").select(
         "set_a", "set_b", F.coalesce("root", "node").alias("component")
