@@ -30,6 +30,7 @@ from tierstream.llm.frames import parts
 from tierstream.session import working_folder
 
 _STEPS = 2_048  # ranges per round and window
+_WINDOWS = 16
 _LOWEST = -(2**63)
 
 
@@ -123,7 +124,11 @@ def _cuts(atoms: DataFrame, low: int, high: int, shards: int) -> list[int]:
 
 
 def _finer(atoms: DataFrame, ranges: list[_Range], chosen: set[int]) -> list[_Range]:
-    """The chosen ranges summed anew in smaller steps; neighbours are taken together."""
+    """The chosen ranges summed anew in smaller steps; neighbours are taken together, and so
+    are those with the smallest gaps where there are more than _WINDOWS."""
+    order = sorted(chosen)
+    gaps = sorted(zip(order, order[1:], strict=False), key=lambda p: p[0] - p[1])[_WINDOWS - 1 :]
+    chosen = chosen.union(*(range(a, b) for a, b in gaps))
     windows: list[list[int]] = []
     for i in sorted(chosen):
         if windows and windows[-1][2] == i - 1:
