@@ -6,10 +6,10 @@ greedily, in order, needs no more than there are. An atom larger than an even sh
 shard of its own and the atoms on either side are cut by themselves, so that one large
 group of copies does not leave other shards empty.
 
-The search runs on sums over ranges of the order, at most a few thousand at a time. Taking
-a range as divisible gives a lower bound for the capacity, taking it as one piece an upper
-bound. Ranges in which a cut can still fall are summed anew in finer steps until the two
-meet, so the result is that of a search over all atoms. Each round is one aggregation over
+The search runs on sums over ranges of the order, some ten thousand at a time. Taking a
+range of several atoms as divisible gives a lower bound for the capacity, taking it as one
+piece an upper bound. Ranges in which a cut can still fall are cut by further bits of the
+order number until the two meet, so the result is that of a search over all atoms. Each round is one aggregation over
 (order, bytes) rows, and their number grows with the logarithm of the data.
 
 Null text counts as empty. Null doc_id sorts before all others. Rows with the same doc_id
@@ -23,19 +23,22 @@ import bisect
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstream.llm.frames import parts
 from tierstream.session import working_folder
 
-_STEPS = 2_048  # ranges per round and window
-_WINDOWS = 16
+_RANGES = 1 << 15  # summed in one round, at most
 _LOWEST = -(2**63)
 
 
 @dataclass(frozen=True)
 class _Range:
+    """The atoms whose order numbers are equal but for the last ``shift`` bits."""
+
+    shift: int
+    block: int
     low: int  # smallest and largest order number of its atoms
     high: int
     size: int
@@ -46,60 +49,62 @@ class _Range:
         return self.low == self.high
 
 
-def _sums(atoms: DataFrame, windows: list[tuple[int, int]]) -> list[_Range]:
-    """Sums over at most _STEPS ranges of equal width in each window (both ends included)."""
-    step = F.lit(None).cast("long")
-    name = F.lit(None).cast("int")
-    for i, (low, high) in enumerate(windows):
-        width = -(-(high - low + 1) // _STEPS)
-        # Both halves are taken apart first: the distance can be beyond 63 bits.
-        place = F.expr(f"CAST((CAST(first AS DECIMAL(20,0)) - ({low})) DIV {width} AS LONG)")
-        within = F.col("first").between(low, high)
-        step, name = F.when(within, place).otherwise(step), F.when(within, F.lit(i)).otherwise(name)
-    rows = (
-        atoms.select("first", "bytes", name.alias("w"), step.alias("s")).where("w IS NOT NULL")
-        .groupBy("w", "s").agg(
+def _block(shift: int) -> Column:
+    """The order number without its last bits; with the sign bit turned, order is unsigned."""
+    return F.shiftrightunsigned(F.col("first").bitwiseXOR(F.lit(_LOWEST)), shift)
+
+
+def _sums(rows: DataFrame, shift: Column | int, block: Column) -> list[_Range]:
+    found = (
+        rows.select("first", "bytes", F.lit(shift).alias("shift"), block.alias("block")).where("block IS NOT NULL")
+        .groupBy("shift", "block").agg(
             F.min("first").alias("low"), F.max("first").alias("high"),
             F.sum("bytes").alias("size"), F.max("bytes").alias("largest"),
         )
-        .collect()
+        .collect()  # at most _RANGES rows and as many again
     )
-    return sorted((_Range(r["low"], r["high"], r["size"], r["largest"]) for r in rows), key=lambda r: r.low)
+    return [_Range(**r.asDict()) for r in found]
 
 
-def _reach(ends: list[int], capacity: int, shards: int, whole: bool) -> list[int]:
-    """Bytes before each cut of a greedy filling; with ``whole``, cuts lie between ranges."""
+def _finer(atoms: DataFrame, ranges: list[_Range], chosen: set[int]) -> list[_Range]:
+    """The ranges in order, the chosen ones cut into as many parts as a round can sum."""
+    bits = max(1, min(11, (_RANGES // len(chosen)).bit_length() - 1))
+    shift, block = F.lit(None).cast("int"), F.lit(None).cast("long")
+    for old in {ranges[i].shift for i in chosen}:  # at most 64 / bits
+        within = _block(old).isin([ranges[i].block for i in chosen if ranges[i].shift == old])
+        new = max(0, old - bits)
+        shift, block = F.when(within, F.lit(new)).otherwise(shift), F.when(within, _block(new)).otherwise(block)
+    kept = [r for i, r in enumerate(ranges) if i not in chosen]
+    return sorted([*kept, *_sums(atoms, shift, block)], key=lambda r: r.low)
+
+
+def _reach(ends: list[int], solid: list[bool], capacity: int, shards: int) -> list[int]:
+    """Bytes before each cut of a greedy filling; no cut falls inside a solid range."""
     cuts, at = [], 0
     for _ in range(shards):
-        at += capacity
-        if whole:
-            k = bisect.bisect_right(ends, at)
-            at = ends[k - 1] if k else 0
-            if cuts and at < cuts[-1]:
-                at = cuts[-1]
-        at = min(at, ends[-1])
+        at = min(at + capacity, ends[-1])
+        k = bisect.bisect_right(ends, at)
+        if k < len(ends) and solid[k]:
+            at = max(ends[k - 1] if k else 0, cuts[-1] if cuts else 0)
         cuts.append(at)
     return cuts
 
 
-def _least(ends: list[int], shards: int, whole: bool, low: int) -> int:
+def _least(ends: list[int], solid: list[bool], shards: int, low: int) -> int:
     """The smallest capacity, ``low`` at least, with which ``shards`` shards hold everything."""
     high = ends[-1]
     while low < high:
         middle = (low + high) // 2
-        if _reach(ends, middle, shards, whole)[-1] >= ends[-1]:
+        if _reach(ends, solid, middle, shards)[-1] >= ends[-1]:
             high = middle
         else:
             low = middle + 1
     return low
 
 
-def _cuts(atoms: DataFrame, low: int, high: int, shards: int) -> list[int]:
-    """The order numbers at which a new shard begins, for the atoms from low to high."""
-    ranges = _sums(atoms, [(low, high)])
+def _cuts(atoms: DataFrame, ranges: list[_Range], shards: int) -> list[int]:
+    """The order numbers at which a new shard begins, for the atoms of these ranges."""
     while True:
-        if not ranges:
-            return []
         ends = list(accumulate(r.size for r in ranges))
         total, largest = ends[-1], max(r.largest for r in ranges)
         if shards > 1 and largest * shards > total and len(ranges) > 1:
@@ -108,50 +113,36 @@ def _cuts(atoms: DataFrame, low: int, high: int, shards: int) -> list[int]:
                 ranges = _finer(atoms, ranges, {at})
                 continue
             return _around(atoms, ranges, at, shards)
-        below = _least(ends, shards, False, max(largest, -(-total // shards)))
-        above = _least(ends, shards, True, below)
-        if above == below or all(r.single for r in ranges):
-            reached = _reach(ends, above, shards, True)
-            firsts = [bisect.bisect_right(ends, b) for b in reached[:-1] if b < total]
+        # Single atoms are solid for both bounds, so they meet once no open range is left.
+        solid, loose = [True] * len(ranges), [r.single for r in ranges]
+        below = _least(ends, loose, shards, max(largest, -(-total // shards)))
+        above = _least(ends, solid, shards, below)
+        if above == below:
+            firsts = [bisect.bisect_right(ends, b) for b in _reach(ends, solid, above, shards)[:-1] if b < total]
             return [ranges[k].low for k in dict.fromkeys(firsts)]
-        early, late = _reach(ends, below, shards, True), _reach(ends, above, shards, False)
-        open_ranges = {
+        early, late = _reach(ends, solid, below, shards), _reach(ends, loose, above, shards)
+        ranges = _finer(atoms, ranges, {
             k for a, b in zip(early, late, strict=True)
-            for k in range(bisect.bisect_left(ends, a), min(bisect.bisect_left(ends, b) + 1, len(ranges)))
+            for k in range(bisect.bisect_left(ends, a), min(bisect.bisect_right(ends, b) + 1, len(ranges)))
             if not ranges[k].single
-        }
-        ranges = _finer(atoms, ranges, open_ranges or {i for i, r in enumerate(ranges) if not r.single})
-
-
-def _finer(atoms: DataFrame, ranges: list[_Range], chosen: set[int]) -> list[_Range]:
-    """The chosen ranges summed anew in smaller steps; neighbours are taken together, and so
-    are those with the smallest gaps where there are more than _WINDOWS."""
-    order = sorted(chosen)
-    gaps = sorted(zip(order, order[1:], strict=False), key=lambda p: p[0] - p[1])[_WINDOWS - 1 :]
-    chosen = chosen.union(*(range(a, b) for a, b in gaps))
-    windows: list[list[int]] = []
-    for i in sorted(chosen):
-        if windows and windows[-1][2] == i - 1:
-            windows[-1][1:] = [ranges[i].high, i]
-        else:
-            windows.append([ranges[i].low, ranges[i].high, i])
-    found = _sums(atoms, [(a, b) for a, b, _ in windows])
-    return sorted([*(r for i, r in enumerate(ranges) if i not in chosen), *found], key=lambda r: r.low)
+        })
 
 
 def _around(atoms: DataFrame, ranges: list[_Range], at: int, shards: int) -> list[int]:
     """An atom above the even share by itself; the sides share the other shards by size."""
     left, right = sum(r.size for r in ranges[:at]), sum(r.size for r in ranges[at + 1 :])
     rest = shards - 1
-    for_left = round(rest * left / max(left + right, 1))
-    for_left = max(int(left > 0), min(for_left, rest - int(right > 0)))
     if left and right and rest < 2:  # two shards: the atom joins the smaller side
         return [ranges[at].low] if left >= right else [ranges[at + 1].low]
+    if left and right:
+        for_left = min(range(1, rest), key=lambda n: (max(left / n, right / (rest - n)), n))
+    else:
+        for_left = rest if left else 0
     cuts = []
     if left:
-        cuts += [*_cuts(atoms, ranges[0].low, ranges[at - 1].high, for_left), ranges[at].low]
+        cuts += [*_cuts(atoms, ranges[:at], for_left), ranges[at].low]
     if right:
-        cuts += [ranges[at + 1].low, *_cuts(atoms, ranges[at + 1].low, ranges[-1].high, rest - for_left)]
+        cuts += [ranges[at + 1].low, *_cuts(atoms, ranges[at + 1 :], rest - for_left)]
     return cuts
 
 
@@ -172,9 +163,14 @@ def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
     groups.write.parquet(f"{folder}/groups")
     groups = spark.read.parquet(f"{folder}/groups")
     # Groups whose smallest doc_id is the same cannot be told apart in the order.
-    atoms = groups.groupBy("first").agg(F.sum("bytes").alias("bytes"))
-    ends = groups.agg(F.min("first"), F.max("first")).first()
-    cuts = _cuts(atoms, ends[0], ends[1], shards) if ends[0] is not None else []
+    groups.groupBy("first").agg(F.sum("bytes").alias("bytes")).write.parquet(f"{folder}/atoms")
+    atoms = spark.read.parquet(f"{folder}/atoms")
+    ends = atoms.agg(F.min("first"), F.max("first")).first()
+    cuts = []
+    if ends[0] is not None:
+        shift = max(0, (ends[1] - ends[0]).bit_length() - 11)
+        ranges = sorted(_sums(atoms, shift, _block(shift)), key=lambda r: r.low)
+        cuts = _cuts(atoms, ranges, shards)
     shard = sum((F.when(F.col("first") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
     part = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(4 * parts(spark)))
     placed = (
