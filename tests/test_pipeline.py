@@ -14,6 +14,7 @@ from tierstream.plans import gold, silver
 from tierstream.plans.bronze import ingest_topic
 from tierstream.plans.lake import Lake
 from tierstream.sources import topics
+from tierstream.sources.lookup import load_countries
 from tierstream.streaming.run import DRAIN, Trigger, append_to_folder, drain
 
 
@@ -98,6 +99,35 @@ def test_customers(lake):
     assert rows(lake.customers.read(), "customer_id", "city", "country") == [("c1", "Oslo", "Latvia")]
 
 
+def test_running_stream_sees_a_reloaded_lookup(lake, tmp_path):
+    csv = tmp_path / "countries.csv"
+
+    def load(mode, *lines):
+        csv.write_text("\n".join(("calling_code,code,country", *lines)) + "\n")
+        load_countries(lake.spark, str(csv), lake.path("bronze", "country_lookup"), mode)
+
+    def send_both(number):
+        send(lake, "customers", customer(f"c{number}"), customer(f"e{number}", code="EE"))
+
+    send_both(0)
+    query = silver.silver_customers(lake, Trigger(every="0 seconds"))
+    try:
+        query.processAllAvailable()
+        for number, load_args in enumerate((("overwrite", "+371,LV,Latvija"), ("append", "+372,EE,Estonia")), 1):
+            load(*load_args)
+            send_both(number)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(lake.customers.read(), "customer_id", "country") == [
+        ("c0", "Latvia"), ("c1", "Latvija"), ("c2", "Latvija"), ("e2", "Estonia"),
+    ]
+    load("ignore", "+1,XX,Nowhere")
+    assert lake.country_lookup.count() == 2
+    with pytest.raises(ValueError, match="already there"):
+        load("error", "+1,XX,Nowhere")
+
+
 def test_books_orders_reads_books_afresh(lake):
     send(lake, "books", book("b1"))
     drain(silver.silver_books(lake, DRAIN))

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tierstream import schemas
+from tierstream.sources.lookup import loaded_countries
 from tierstream.streaming.catalog import CatalogTable, Namespace
 from tierstream.streaming.metrics import metrics_table
 from tierstream.streaming.tables import AppendTable, MergeTable
@@ -54,7 +55,7 @@ class Lake:
 
     @property
     def country_lookup(self) -> DataFrame:
-        return self.spark.read.schema(schemas.COUNTRY_LOOKUP).parquet(self.path("bronze", "country_lookup"))
+        return loaded_countries(self.spark, self.path("bronze", "country_lookup"))
 
     @property
     def books(self) -> MergeTable:

@@ -77,27 +77,30 @@ def silver_books(lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_b
 # --- customers ---------------------------------------------------------------
 
 
-def clean_customers(messages: DataFrame, countries: DataFrame) -> DataFrame:
-    """Customer messages to typed rows with a country name."""
-    rows = parse_payload(messages, schemas.CUSTOMER_MESSAGE)
-    return keep_usable_keys(add_country(rows, countries), "customer_id")
+def clean_customers(messages: DataFrame) -> DataFrame:
+    """Customer messages to typed rows, still with a country code."""
+    return keep_usable_keys(parse_payload(messages, schemas.CUSTOMER_MESSAGE), "customer_id")
 
 
 def upsert_customers(lake: Lake, name: str) -> BatchHandler:
-    """Type 1 with deletes, from the newest row per customer of the batch."""
+    """Type 1 with deletes, from the newest row per customer of the batch.
+
+    The lookup is read per batch, so a reload takes effect with the next one.
+    """
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
-        rows = batch.count()
+        customers = add_country(batch, lake.country_lookup)
+        rows = customers.count()
         record(lake.metrics, name, writer, batch_id, "silver_customers", rows)
         if rows:
-            newest = newest_per_key(batch, ["customer_id"], "row_time")
+            newest = newest_per_key(customers, ["customer_id"], "row_time")
             lake.customers.merge(newest, CUSTOMER_STATE, writer, batch_id)
 
     return handle
 
 
 def silver_customers(lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_customers") -> StreamingQuery:
-    rows = clean_customers(lake.topic("customers"), lake.country_lookup)
+    rows = clean_customers(lake.topic("customers"))
     checkpoint = lake.checkpoint("silver", "silver_customers")
     return for_each_batch(rows, upsert_customers(lake, name), checkpoint, name, trigger)
 
