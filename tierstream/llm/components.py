@@ -56,7 +56,8 @@ def connected(links: DataFrame, folder: str) -> DataFrame:
         least = both.groupBy("node").agg(F.least(F.min("root"), F.col("node")).alias("least"))
         large = (
             both.join(least, "node").where("root > node")
-            .select(F.col("root").alias("node"), F.col("least").alias("root")).distinct()
+            .select(F.col("root").alias("node"), F.col("least").alias("root"))
+            .repartition("node").distinct()  # one exchange serves all that follows; a task sent few rows of a node
         )
         least = large.groupBy("node").agg(F.min("root").alias("least"))
         placed = large.join(least, "node")

@@ -292,14 +292,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
             placed.groupBy("band", "root").agg(F.count("*").alias("n"))
             .groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("groups"))
             .where("groups > 1")
+            .select("band", F.expr(f"n * n - squares > {2 * _CROWDED} * n").alias("crowded"))
         )
-        mixed = written(placed.join(per_band.select("band"), "band"), f"mixed-{turn}")
+        mixed = written(placed.join(per_band, "band"), f"mixed-{turn}")
         if mixed.isEmpty():
             break
-        crowded = per_band.where(f"n * n - squares > {2 * _CROWDED} * n").select("band")
         last = turn == _STARS
         if last:  # all pairs of a band that are still in different groups
-            one = mixed.join(crowded, "band", "left_anti")
+            one = mixed.where("NOT crowded")
         else:
             weight = {0: -F.col("node"), 1: F.col("crowd")}.get(
                 turn, F.col("crowd") * F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20))
@@ -320,7 +320,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         candidates = written(candidates, f"pairs-{turn}")
         found = confirmed(candidates)
         if last:
-            found = found.unionByName(_blockwise(mixed.join(crowded, "band"), sets, percent, f"{folder}/clusters"))
+            found = found.unionByName(_blockwise(mixed.where("crowded"), sets, percent, f"{folder}/clusters"))
         found = written(found, f"links-{turn}")
         links = found if links is None else links.unionByName(found)
         tried = candidates if tried is None else tried.unionByName(candidates)
