@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -57,13 +57,9 @@ def connected(links: DataFrame, folder: str) -> DataFrame:
         large = (
             both.join(least, "node").where("root > node")
             .select(F.col("root").alias("node"), F.col("least").alias("root"))
-            .repartition("node").distinct()  # one exchange serves all that follows; a task sent few rows of a node
-        )
-        least = large.groupBy("node").agg(F.min("root").alias("least"))
-        placed = large.join(least, "node")
-        small = (
-            placed.where("root <> least").select(F.col("root").alias("node"), F.col("least").alias("root"))
-            .unionByName(least.select("node", F.col("least").alias("root")))
+            .repartition("node").withColumn("least", F.min("root").over(Window.partitionBy("node")))
         )
+        pairs = F.array(*(F.struct(F.col(c).alias("node"), F.col("least").alias("root")) for c in ("node", "root")))
+        small = large.select(F.inline(pairs)).where("node <> root")
         step += 1
         small.distinct().write.parquet(f"{folder}/{step}")
