@@ -191,6 +191,35 @@ def test_edited_fingerprints(docs):
     assert got[5]["fingerprint"] == got[6]["fingerprint"] and got[0]["fingerprint"] == got[1]["fingerprint"]
 
 
+def test_fingerprints_of_a_third_alike(raw_spark):
+    """Near copies in a third of the rows are beyond the lexicon's band, and still alike."""
+    random.seed(11)
+    base = [f"t{k}" for k in range(60)]
+    rows = []
+    for i in range(450):
+        own = list(base) if i % 9 < 3 else [f"v{random.randrange(2000)}" for _ in range(60)]
+        for _ in range(3 if i % 9 < 3 else 0):
+            own[random.randrange(60)] = f"n{random.random()}"
+        rows.append((i, " ".join(own)))
+    rows += [(450 + i, f"{text} tail") for i, text in enumerate(["rare1 rare2 rare3 rare4 rare5 rare6 rare7"] * 2)]
+    got = by_id(imatch.edited_fingerprints(raw_spark.createDataFrame(rows, "doc_id long, text string")))
+    ratio = lambda a, b: len(set(a.split()) & set(b.split())) / len(set(a.split()) | set(b.split()))
+    near, real = collections.defaultdict(list), collections.defaultdict(list)
+    for i, text in rows[1:450]:
+        following = rows[i - 1][1]
+        half = len(text) // 2
+        # Copies before another copy or before another text; other texts, which have lexicon terms.
+        kind = ["mixed", "copies", "copies", "turn"][min(i % 9, 3)] if i % 9 < 4 else "others"
+        near[kind].append((got[i]["near_edited"], got[i]["near_next"]))
+        real[kind].append((ratio(text, text[: len(text) - half] + following[:half]), ratio(text, following)))
+    near, real = ({k: np.mean(v, 0) for k, v in x.items()} for x in (near, real))
+    assert 0.6 * real["copies"][1] <= near["copies"][1] <= real["copies"][1] + 0.05
+    assert near["mixed"][0] >= 0.7 * near["others"][0]  # as for texts in the lexicon with the same overlap
+    assert near["copies"][0] >= near["others"][0]
+    assert near["mixed"][1] < 0.05 and near["turn"][1] < 0.05
+    assert got[451]["near_next"] == 1 and len(set(got[451]["fingerprint"].split())) > 5
+
+
 @pytest.mark.parametrize("weights", [[3.0, 2.0], [1.0, 4.0, 0.5, 2.0, 2.5]])
 def test_maximal_segments(weights):
     at = [3 * k for k in range(len(weights))]

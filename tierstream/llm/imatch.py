@@ -11,7 +11,12 @@ Likeness of two fingerprints: among the subsets that are not blank in both, the
 which they agree. A subset agrees if no term in it was added or lost, so for small subsets
 this follows the share of terms in common.
 
-A text without lexicon terms is fingerprinted by the text itself; an empty one is blank
+A text with fewer than 8 lexicon terms, or with fewer than one in 8 of its terms in the
+lexicon, is fingerprinted by all its terms: a group of copies or a template in more documents
+than the band allows has no terms in the lexicon. If one of two texts is such a text, all
+terms of both are compared, whatever the other's own fingerprint is made of.
+
+A text without terms is fingerprinted by the text itself; an empty one is blank
 everywhere. Null text is empty. Null doc_id comes last in the order from the largest
 doc_id down; rows with the same doc_id follow each other by text. Other columns are ignored.
 """
@@ -29,6 +34,7 @@ _BITS = 1 << 20
 _BLANK = -1
 _SENTINELS = [*(f"{i:02X}!" for i in range(128)), *(f"G{i:X}!" for i in range(16))]
 _FINE_BINS = 1 << 16
+_FEW = 8  # lexicon terms, and one in so many of a text's terms
 
 
 def term_hashes(text: Column) -> Column:
@@ -60,17 +66,27 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _own_terms(text: Column) -> Column:
+    """All terms of a text; the text itself where it has none."""
+    return _let(term_hashes(text), lambda t: F.when((F.size(t) == 0) & (text != ""), F.array(F.xxhash64(text))).otherwise(t))
+
+
 def fingerprint(text: Column, bits: str) -> Column:
-    """144 short hashes, blank where the document has no term in the subset."""
+    """``marks``, and whether they are ``whole``: of all terms, as few are in the lexicon."""
     words = F.split(F.lit(bits), ",").cast("array<bigint>")  # constant: evaluated once, in planning
     word = lambda t: F.get(words, F.floor(F.pmod(t, F.lit(_BITS)) / 64).cast("int"))
-    known = F.filter(
-        term_hashes(text),
-        lambda t: F.getbit(word(t), F.pmod(F.pmod(t, F.lit(_BITS)), F.lit(64)).cast("int")) == 1,
-    )
-    terms = _let(
-        known, lambda k: F.when((F.size(k) == 0) & (text != ""), F.array(F.xxhash64(text))).otherwise(k)
-    )
+    known = lambda t: F.getbit(word(t), F.pmod(F.pmod(t, F.lit(_BITS)), F.lit(64)).cast("int")) == 1
+
+    def chosen(own: Column, found: Column) -> Column:
+        whole = (F.size(found) < _FEW) | (F.size(found) * _FEW < F.size(own))
+        return F.struct(F.when(whole, own).otherwise(found).alias("terms"), whole.alias("whole"))
+
+    terms = _let(_own_terms(text), lambda own: _let(F.filter(own, known), lambda found: chosen(own, found)))
+    return _let(terms, lambda t: F.struct(marks(t["terms"]).alias("marks"), t["whole"].alias("whole")))
+
+
+def marks(terms: Column) -> Column:
+    """144 short hashes, blank where no term is in the subset."""
     names = F.transform(terms, lambda t: F.lpad(F.hex(F.xxhash64(t, F.lit(1))), 16, "0"))
 
     # A term's name starts with the number of its small subset; a quarter of the terms are
@@ -79,8 +95,8 @@ def fingerprint(text: Column, bits: str) -> Column:
         large = F.concat(F.lit("G"), F.substring(x, -1, 1), x)
         return F.when((x < "8") & (F.substring(x, 3, 1) < "8"), F.array(x, large)).otherwise(F.array(large))
 
-    marks = F.split(F.lit(",".join(_SENTINELS)), ",")
-    in_order = F.array_join(F.sort_array(F.concat(marks, F.flatten(F.transform(names, placed)))), "")
+    heads = F.split(F.lit(",".join(_SENTINELS)), ",")
+    in_order = F.array_join(F.sort_array(F.concat(heads, F.flatten(F.transform(names, placed)))), "")
     found = F.split(in_order, "[0-9A-G][0-9A-F]!")
     return F.transform(
         F.slice(found, 2, len(_SENTINELS)),
@@ -99,6 +115,13 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(filled == 0, F.lit(1.0)).otherwise((total - filled * 1000) / filled).cast("double")
 
 
+def alike(one: str, other: str, texts: dict[str, Column]) -> Column:
+    """Likeness of two texts by their fingerprint columns, over the same kind of terms."""
+    whole = F.col(f"{one}.whole") | F.col(f"{other}.whole")
+    over = lambda c: F.when(whole & ~F.col(f"{c}.whole"), marks(_own_terms(texts[c]))).otherwise(F.col(f"{c}.marks"))
+    return likeness(over(one), over(other))
+
+
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Each row with ``next``, a struct of the columns of the row with the next smaller
     doc_id; after the smallest comes the largest.
@@ -144,23 +167,21 @@ def edited_fingerprints(docs: DataFrame, least: float = 1 / 500, most: float = 0
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bits = lexicon_bits(texts, least, most)
-    own = texts.withColumn("marks", fingerprint(F.col("text"), bits))
+    own = texts.withColumn("print", fingerprint(F.col("text"), bits))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.char_length("text") - half), F.substring(F.col("next.text"), F.lit(1), half)
     )
-    pairs = with_next(own, ["text", "marks"]).select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), edited.alias("edited"),
-        "marks", F.col("next.marks").alias("next_marks"),
-    )
-    done = pairs.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "marks", "next_marks",
-        fingerprint(F.col("edited"), bits).alias("edited_marks"),
+    pairs = with_next(own, ["text", "print"]).select(
+        "doc_id", "text", F.col("next.text").alias("next_text"), edited.alias("edited"),
+        "print", F.col("next.print").alias("next_print"),
     )
-    written = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+    done = pairs.withColumn("edited_print", fingerprint(F.col("edited"), bits))
+    texts_of = {"print": F.col("text"), "next_print": F.col("next_text"), "edited_print": F.col("edited")}
+    written = lambda c: F.array_join(F.col(f"{c}.marks").cast("array<string>"), " ")
     return done.select(
-        "doc_id", "n_chars", "edited_sha256",
-        written("marks").alias("fingerprint"), written("edited_marks").alias("edited_fingerprint"),
-        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
-        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        written("print").alias("fingerprint"), written("edited_print").alias("edited_fingerprint"),
+        alike("print", "edited_print", texts_of).alias("near_edited"),
+        alike("print", "next_print", texts_of).alias("near_next"),
     )
