@@ -246,6 +246,23 @@ def test_toxicity(raw_spark, docs):
     assert all(0 <= r["score"] < 0.5 for r in toxicity.scored(docs, empty).collect())
 
 
+def test_toxicity_threshold_does_not_follow_the_sample(raw_spark):
+    """A bound that thins only the clean class leaves the threshold where all labels put it."""
+    random.seed(6)
+    calm = [f"calm{k}" for k in range(300)]
+    rows = []
+    for i in range(8000):
+        words = random.choices(calm, k=60)
+        if i % 20 == 0 or random.random() < 0.2:  # four times as many clean texts with the word as toxic ones
+            words[random.randrange(60)] = "vile"
+        rows.append((i, " ".join(words), int(i % 20 == 0)))
+    table = raw_spark.createDataFrame(rows, "doc_id long, text string, toxic int").persist()
+    for bound in (20_000, 800):
+        got = toxicity.scored(table, toxicity.fit(table, table, per_class=bound, least_weight=1.0))
+        score = got.join(table.where("text LIKE '%vile%'"), "doc_id").agg(F.min("score"), F.max("score")).first()
+        assert 0.1 < score[0] <= score[1] < 0.35, (bound, score)
+
+
 def test_katz(docs):
     texts = {i: [*WORD.findall(lower(t)), None] for i, t in rows_of_text()}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}

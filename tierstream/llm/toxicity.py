@@ -16,7 +16,8 @@ lambda S - ln(K n), significant ones of a document add up, and a logistic curve
 the training sample turns the sum into the score.
 
 The model is fitted on at most ``per_class`` toxic and as many clean training rows, chosen
-by a hash of doc_id, and has at most ``vocabulary`` weights: these two bounds are what the
+by a hash of doc_id. Where that thins one class more than the other, its rows weigh more in
+the z scores and in the curve, so that both see the mix of all training labels. The model has at most ``vocabulary`` weights: these two bounds are what the
 driver and the broadcast hold. Scoring is one pass over all texts without a shuffle.
 
 Null or empty text: no tokens; the score is that of a text without toxic words. Null
@@ -180,6 +181,10 @@ def fit(
     """A model from the labelled rows that are not held out."""
     train = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     train = train.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(fold))
+    # What a row of the sample stands for, in units of the less thinned class.
+    totals = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}  # two rows
+    thinned = [max(1.0, totals.get(c, 0) / per_class) for c in (0, 1)]
+    stands = [x / min(thinned) for x in thinned]
     by_class = [
         train.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)
     ]
@@ -204,11 +209,13 @@ def fit(
         mass = F.col(n) + pseudo
         return F.log(mass / (total + prior - F.col(n)))
 
-    expected = both * toxic / (toxic + clean)
+    all_toxic, all_clean = stands[1] * toxic, stands[0] * clean
+    met_toxic = stands[1] * F.col("n_toxic")
+    expected = (met_toxic + stands[0] * F.col("n_clean")) * all_toxic / (all_toxic + all_clean)
     weights = (
         counted.select(
             "feature", "n_clean", (log_odds("n_toxic", toxic) - log_odds("n_clean", clean)).alias("weight"),
-            ((F.col("n_toxic") - expected) / F.sqrt(expected)).alias("z"),
+            ((met_toxic - expected) / F.sqrt(expected)).alias("z"),
         )
         .where((F.col("z") >= least_z) & (F.col("weight") >= least_weight))
         .orderBy(F.desc("z"), "feature").limit(vocabulary).collect()
@@ -230,7 +237,8 @@ def fit(
         return nothing
     x = np.array([draft.evidence(b, [b], int(n)) for b, n in zip(seen.best, seen.n_tokens, strict=True)])
     x = np.minimum(x, 20.0)  # far beyond any doubt; more would only flatten the curve
-    slope, intercept = _logistic(x, seen.toxic.to_numpy().astype(float))
+    y = seen.toxic.to_numpy().astype(float)
+    slope, intercept = _logistic(x, y, np.where(y == 1, stands[1], stands[0]))
     return ToxicityModel(keys, weight, drift, scale, size, slope, intercept)
 
 
@@ -249,13 +257,13 @@ def _law(weight: np.ndarray, chance: np.ndarray, drift: float) -> float:
     return max(low, 0.05)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept by Newton steps, with a weak pull to zero against a perfect split."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept for weighted rows by Newton steps, with a weak pull to zero against a perfect split."""
     design, beta = np.stack([x, np.ones_like(x)], 1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (y - p) - 1e-3 * beta
-        curve = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        gradient = design.T @ (weight * (y - p)) - 1e-3 * beta
+        curve = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
         step = np.linalg.solve(curve, gradient)
         beta += step * min(1.0, 2 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
