@@ -111,8 +111,12 @@ def likeness(one: Column, other: Column) -> Column:
         lambda x, y: F.when((x == _BLANK) & (y == _BLANK), 0).otherwise(F.when(x == y, 1001).otherwise(1000)),
     )
     total = F.aggregate(each, F.lit(0), lambda a, x: a + x)
-    filled = F.floor(total / 1000)
-    return F.when(filled == 0, F.lit(1.0)).otherwise((total - filled * 1000) / filled).cast("double")
+
+    def share(total: Column) -> Column:
+        filled = F.floor(total / 1000)
+        return F.when(filled == 0, F.lit(1.0)).otherwise((total - filled * 1000) / filled).cast("double")
+
+    return _let(total, share)
 
 
 def alike(one: str, other: str, texts: dict[str, Column]) -> Column:
