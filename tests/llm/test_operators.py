@@ -103,6 +103,11 @@ def test_cuckoo_filter():
     assert made.contains(keys[5_000:10_000]).all() and made.contains(keys[:5_000]).mean() < 0.01
 
 
+def test_cuckoo_filter_of_one_shard():
+    keys = np.random.default_rng(1).integers(0, 2**64 // 20_000, 20_000).astype(np.uint64)
+    assert CuckooFilter.of(keys[:10_000]).contains(keys[10_000:]).mean() < 0.01
+
+
 def shingle_set(text):
     words = WORD.findall(lower(text))
     return frozenset(tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))) if words else frozenset()

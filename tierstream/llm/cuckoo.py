@@ -42,6 +42,7 @@ class CuckooFilter:
         return self.table.tobytes()
 
     def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes = mix(hashes)  # the keys of a shard have their upper bits in common
         prints = ((hashes >> np.uint64(48)) | np.uint64(1)).astype(np.uint16)
         first = (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
         return prints, first, self._other(first, prints)

@@ -268,14 +268,14 @@ def _filters(references: pa.Table, before: pa.Table) -> pa.Table:
     bucket = (references if references.num_rows else before)["bucket"][0].as_py()
     keys = np.unique(_pairs(references)[0]) if references.num_rows else np.zeros(0, np.uint64)
     old = {r["kind"]: r["keys"] for r in before.to_pylist()}
-    if not old:
+    if 3 not in old:  # none yet, or one of kind 1 with fingerprints of unmixed hashes
         made = CuckooFilter.of(keys, 2 * len(keys))
     else:
-        made, had = CuckooFilter.from_bytes(old[1]), B.load(old[2])[0]
+        made, had = CuckooFilter.from_bytes(old[3]), B.load(old[2])[0]
         made.delete(had[~B.member(had, keys)])
         if not made.insert(keys[~B.member(keys, had)]):
             made = CuckooFilter.of(keys, 2 * len(keys))
-    return lists([(bucket, -1, 1, made.to_bytes()), (bucket, -1, 2, B.dump(keys))])
+    return lists([(bucket, -1, 3, made.to_bytes()), (bucket, -1, 2, B.dump(keys))])
 
 
 def _probe(asked: pa.Table, stored: pa.Table) -> pa.Table:
@@ -283,7 +283,10 @@ def _probe(asked: pa.Table, stored: pa.Table) -> pa.Table:
         return pa.table({"doc_id": pa.array([], pa.int64()), "n_new": pa.array([], pa.int64())})
     keys, _, holder = _pairs(asked)
     blobs = {r["kind"]: r["keys"] for r in stored.to_pylist()}
-    known = CuckooFilter.from_bytes(blobs[1]).contains(keys) if blobs else np.zeros(len(keys), bool)
+    if 3 in blobs:
+        known = CuckooFilter.from_bytes(blobs[3]).contains(keys)
+    else:
+        known = B.member(keys, B.load(blobs[2])[0]) if blobs else np.zeros(len(keys), bool)
     ids, at = np.unique(holder, return_inverse=True)
     return pa.table({
         "doc_id": pa.array((ids ^ _SIGN).view(np.int64), pa.int64()),
