@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstream.llm import (
-    imatch, katz, lines, packing, pieces, sharding, substring, superminhash, toxicity, vectors,
+    imatch, infill, katz, lines, packing, phrases, pieces, sharding, substring, superminhash, toxicity, transducer,
+    vectors,
 )
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,6 +69,26 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"), BYTE_BPE)
 
 
+def streamed_ids(spark: SparkSession, folder: str) -> DataFrame:
+    found = transducer.coded(_table(spark, folder, "documents"), BYTE_BPE)
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def filled_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    found = infill.transformed(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup,
     "op2_sharding": shards,
@@ -79,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_superminhash": near_duplicates,
     "op9_sentence_pieces": sentence_pieces,
     "op10_best_fit_packing": best_fit_packing,
+    "op11_bpe_transducer": streamed_ids,
+    "op12_infill": filled_in_middle,
+    "op13_phrases": collocations,
 }
