@@ -352,7 +352,7 @@ def _score(a: str, left: str, right: str) -> str:
 
 
 def collocations(
-    docs: DataFrame, least: int = 10, contained_percent: int = 50, limit: int = 2000, shard_bytes: int = 16_000_000
+    docs: DataFrame, least: int = 10, contained_percent: int = 50, limit: int = 2000, shard_bytes: int = 8_000_000
 ) -> DataFrame:
     """lang, rank, phrase, a (its count), l and r (counts of the two parts of its weakest
     cut), n (words of the language) and score: each language's first ``limit`` phrases.
