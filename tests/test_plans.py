@@ -12,7 +12,7 @@ from tierstream import schemas
 from tierstream.operators.dedup import rows_not_in, time_span
 from tierstream.operators.joins import broadcast_if_small
 from tierstream.operators.latest import newest_per_key
-from tierstream.operators.merge import CUSTOMER_STATE, merge_rows
+from tierstream.operators.merge import CUSTOMER_STATE, merge_effects
 from tierstream.plans import shop
 from tierstream.session import pipeline_session, working_folder
 
@@ -62,12 +62,22 @@ def test_insert_only_reads_the_batch_time_span(spark, tmp_path):
     assert "GreaterThanOrEqual(order_timestamp" in pushed and "LessThanOrEqual(order_timestamp" in pushed
 
 
-def test_rows_that_cannot_match_are_found_by_statistics(spark, tmp_path):
-    spark.createDataFrame([], schemas.CUSTOMERS).write.parquet(str(tmp_path / "t"))
-    target = spark.read.parquet(str(tmp_path / "t"))
-    text = plan(merge_rows(target, target, CUSTOMER_STATE))
-    assert "PushedFilters: [IsNull(customer_id)]" in text
+def test_a_merge_leaves_the_table_where_it_lies(spark, tmp_path):
+    """A small batch is broadcast to the target; only rows with its keys are shuffled or joined further."""
+    spark.createDataFrame([], f"{schemas.CUSTOMERS}, id BIGINT").write.parquet(str(tmp_path / "t"))
+    spark.range(1_000_000).select(F.col("id").cast("string").alias("customer_id")).write.parquet(str(tmp_path / "big"))
+    target = spark.read.schema(f"{schemas.CUSTOMERS}, id BIGINT").parquet(str(tmp_path / "t"), str(tmp_path / "big"))
+    batch = spark.createDataFrame([("1", day(1))], "customer_id STRING, row_time TIMESTAMP")
+    source = batch.select(*[F.col(f.name) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                            for f in target.drop("id").schema]).persist()
+    source.count()
+    text = plan(merge_effects(target, source, CUSTOMER_STATE, ["id"]))
+    source.unpersist()
     assert "PushedFilters: [IsNotNull(customer_id)]" in text
+    tree = text.split("\n\n\n")[0]
+    above_scan = tree[: tree.index("Scan parquet")].splitlines()[-6:]
+    assert any("BroadcastHashJoin LeftSemi" in line for line in above_scan)
+    assert not any("Exchange" in line and "Broadcast" not in line for line in above_scan)
 
 
 def test_lookup_is_broadcast_only_if_small(spark):

@@ -1,6 +1,6 @@
 """Merging a batch of rows into a table, with the rules written down as data.
 
-A :class:`Policy` says which rows meet and what happens then. ``merge_rows``
+A :class:`Policy` says which rows meet and what happens then. ``merge_effects``
 applies it with DataFrame joins for tables without a native merge;
 ``Policy.to_sql`` writes the same rules as a MERGE statement for tables with one.
 """
@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 
 class MergeError(ValueError):
@@ -96,86 +96,44 @@ AUTHOR_WINDOWS = Policy(on=(("time", "time"), ("author", "author")), matched=(Cl
 # --- merge on plain frames ---------------------------------------------------
 
 
-def key_summary(source: DataFrame, policy: Policy, *extra: Column) -> DataFrame:
-    """One row: do complete match keys repeat, are some incomplete, and the distinct
-    values of each of ``extra`` (``values0`` and so on), of which there must be few."""
-    keys = [F.expr(expression) for _, expression in policy.on]
-    per_key = source.groupBy(
-        *[key.alias(f"key{i}") for i, key in enumerate(keys)], *[e.alias(f"extra{i}") for i, e in enumerate(extra)]
-    ).agg((F.count("*") > 1).alias("several"))
-    complete = _all([F.col(f"key{i}").isNotNull() for i in range(len(keys))])
-    return per_key.agg(
-        F.coalesce(F.bool_or(F.col("several") & complete), F.lit(False)).alias("repeated"),
-        F.coalesce(F.bool_or(~complete), F.lit(False)).alias("incomplete"),
-        *[F.collect_set(f"extra{i}").alias(f"values{i}") for i in range(len(extra))],
-    )
-
+def merge_effects(target: DataFrame, source: DataFrame, policy: Policy, row_id: list[str]) -> DataFrame:
+    """What a batch does to a table: ``t`` (the target row, null for an insert), ``action``
+    (insert, update, delete), ``after`` (resulting row, null for a delete) and the target
+    row's ``row_id`` columns.
 
-def merge_rows(
-    target: DataFrame,
-    source: DataFrame,
-    policy: Policy,
-    summary: Row | None = None,
-    held: list[DataFrame] | None = None,
-) -> DataFrame:
-    """Pair target and source rows and decide what becomes of each pair.
+    Only rows that change come back. ``source`` should be persisted. Several effects on one
+    ``row_id`` mean that source rows contradict each other; the caller has to refuse them.
 
-    Returns ``t`` (target row or null), ``action`` (keep, insert, update, delete)
-    and ``after`` (resulting row, null for delete): each target row once, plus one
-    row per source row that matched nothing. ``source`` should be persisted;
-    ``summary`` is its :func:`key_summary` row if known. Frames persisted here are
-    added to ``held`` for the caller to release.
-
-    Rows that cannot match, because a key is null or the target row is not
-    eligible, stay out of the join, so they never gather in one task.
+    Rows that cannot match, because a key is null or the target row is not eligible, stay
+    out of the join, so they never gather in one task.
     """
+    fields = [field for field in target.schema if field.name not in row_id]
+    target_rows = target.select(F.struct(*[F.col(f.name) for f in fields]).alias("t"), *row_id)
     source_rows = source.select(F.struct("*").alias("s"))
-    target_rows = target.select(F.struct("*").alias("t"))
     source_keys = [F.expr(f"s.{expression}") for _, expression in policy.on]
     target_keys = [F.expr(f"t.{expression}") for expression, _ in policy.on]
-    source_can_match = _all([key.isNotNull() for key in source_keys])
-    target_can_match = _all([key.isNotNull() for key in target_keys])
+    complete = _all([key.isNotNull() for key in source_keys])
+    can_match = _all([key.isNotNull() for key in target_keys])
     if policy.eligible:
-        target_can_match &= F.coalesce(F.expr(f"t.{policy.eligible}"), F.lit(False))
-
-    inside = target_rows.filter(target_can_match)
-    keyed = source_rows.filter(source_can_match)
+        can_match &= F.coalesce(F.expr(f"t.{policy.eligible}"), F.lit(False))
     same_keys = _all([t == s for t, s in zip(target_keys, source_keys)])
-    if summary is None:
-        summary = key_summary(source, policy).first()
-    if not summary["repeated"]:
-        pairs = inside.join(keyed, same_keys, "full")
-    else:
-        pairs = _pair_repeated(inside, keyed, same_keys, policy, held if held is not None else [])
-
-    no_source = F.lit(None).cast(source_rows.schema["s"].dataType).alias("s")
-    every = pairs.select("t", "s").unionByName(target_rows.filter(~target_can_match).select("t", no_source))
-    if summary["incomplete"]:
-        no_target = F.lit(None).cast(target_rows.schema["t"].dataType).alias("t")
-        every = every.unionByName(source_rows.filter(~source_can_match).select(no_target, "s"))
-    decided = every.withColumn("rule", _rule(policy))
-    return decided.select("t", _action(policy).alias("action"), _after(policy, target).alias("after"))
+    # The target is cut to the batch's keys first: a semi-join can broadcast the source and
+    # leave the target where it lies, which the outer join alone could not.
+    keyed = source_rows.filter(complete)
+    partners = target_rows.filter(can_match).join(keyed, same_keys, "left_semi")
+    pairs = keyed.join(partners, same_keys, "left")
+    alone = source_rows.filter(~complete).select(
+        "s", *[F.lit(None).cast(target_rows.schema[c].dataType).alias(c) for c in ("t", *row_id)]
+    )
+    decided = pairs.select("s", "t", *row_id).unionByName(alone).withColumn("rule", _rule(policy))
+    changes = decided.filter(F.col("rule") != _KEEP)
+    return changes.select("t", _action(policy).alias("action"), _after(policy, fields).alias("after"), *row_id)
 
 
 # Outcomes of a pair that no WHEN MATCHED rule decides.
 _KEEP, _INSERT = -1, -2
 
 
-def _pair_repeated(
-    inside: DataFrame, keyed: DataFrame, same_keys: Column, policy: Policy, held: list[DataFrame]
-) -> DataFrame:
-    """Pairs for a source with repeated keys: at most one may change a target row."""
-    numbered = inside.withColumn("_row", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
-    held.append(numbered)
-    changing = keyed.join(numbered, same_keys).filter(_rule(policy) != _KEEP).select("_row", "s")
-    clash = changing.groupBy("_row").count().filter("count > 1")
-    if not clash.isEmpty():
-        raise MergeError("several source rows match and would change the same target row")
-    changed = numbered.join(changing, "_row", "left").select("t", "s")
-    new = keyed.join(inside, same_keys, "left_anti")
-    return changed.unionByName(new.select(F.lit(None).cast(inside.schema["t"].dataType).alias("t"), "s"))
-
-
 def _all(conditions: list[Column]) -> Column:
     result = conditions[0]
     for condition in conditions[1:]:
@@ -185,7 +143,7 @@ def _all(conditions: list[Column]) -> Column:
 
 def _rule(policy: Policy) -> Column:
     """Number of the first rule that holds for a pair; without one the target row stays."""
-    chosen = F.when(F.col("t").isNull(), _INSERT).when(F.col("s").isNull(), _KEEP)
+    chosen = F.when(F.col("t").isNull(), _INSERT)
     for number, clause in enumerate(policy.matched):
         chosen = chosen.when(F.expr(clause.when) if clause.when else F.lit(True), number)
     return chosen.otherwise(_KEEP)
@@ -195,17 +153,17 @@ def _action(policy: Policy) -> Column:
     name = F.when(F.col("rule") == _INSERT, "insert")
     for number, clause in enumerate(policy.matched):
         name = name.when(F.col("rule") == number, clause.action)
-    return name.otherwise("keep")
+    return name
 
 
-def _after(policy: Policy, target: DataFrame) -> Column:
+def _after(policy: Policy, fields: list[StructField]) -> Column:
     """The resulting row. Source columns are found by name and cast to the target's types."""
 
     def row(assign: dict[str, str], rest: str) -> Column:
-        values = [F.expr(assign.get(field.name, f"{rest}.{field.name}")) for field in target.schema]
-        return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, target.schema)])
+        values = [F.expr(assign.get(field.name, f"{rest}.{field.name}")) for field in fields]
+        return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, fields)])
 
-    result = F.when(F.col("rule") == _KEEP, F.col("t")).when(F.col("rule") == _INSERT, row({}, "s"))
+    result = F.when(F.col("rule") == _INSERT, row({}, "s"))
     for number, clause in enumerate(policy.matched):
         if clause.action == "update":
             effect = row(clause.assign, "t") if clause.assign else row({}, "s")
@@ -213,19 +171,17 @@ def _after(policy: Policy, target: DataFrame) -> Column:
     return result
 
 
-def change_rows(merged: DataFrame) -> DataFrame:
-    """The merge's effects as change-feed rows: table columns and ``_change_type``."""
+def change_rows(effects: DataFrame, keep: list[str], before: bool = True) -> DataFrame:
+    """Effects as rows of a change feed: table columns, ``_effect`` (the kind of change) and
+    the columns to keep. ``before`` adds the row as it was before an update."""
 
     def change(kind: str, row: str) -> Column:
-        return F.struct(F.lit(kind).alias("_change_type"), F.col(row).alias("row"))
+        return F.struct(F.lit(kind).alias("_effect"), F.col(row).alias("row"))
 
-    effects = (
+    update = [change("update_postimage", "after")]
+    rows = (
         F.when(F.col("action") == "insert", F.array(change("insert", "after")))
         .when(F.col("action") == "delete", F.array(change("delete", "t")))
-        .otherwise(F.array(change("update_preimage", "t"), change("update_postimage", "after")))
-    )
-    return (
-        merged.filter(F.col("action") != "keep")
-        .select(F.explode(effects).alias("effect"))
-        .select("effect.row.*", "effect._change_type")
+        .otherwise(F.array(*[change("update_preimage", "t")] * before, *update))
     )
+    return effects.select(F.explode(rows).alias("change"), *keep).select("change.row.*", "change._effect", *keep)

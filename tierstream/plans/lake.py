@@ -17,9 +17,8 @@ from tierstream.streaming.tables import AppendTable, MergeTable
 class Lake:
     """All tables as Parquet folders under ``root``.
 
-    ``buckets`` is the number of hash buckets of the merged tables, by default one per
-    shuffle partition. It is fixed when a table is first written, so choose it for the
-    size the table will reach. ``pace`` holds source options for every stream over
+    ``buckets`` is the number of hash buckets in which the base of a merged table lies, by
+    default one per 512 MB at each rewrite. ``pace`` holds source options for every stream over
     these tables, such as ``maxBytesPerTrigger``: without one, a stream that starts on a
     backlog takes all of it as its first batch.
     """
@@ -45,10 +44,6 @@ class Lake:
             table.create()
         return self
 
-    @property
-    def bucket_count(self) -> int:
-        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
     def topic(self, name: str) -> DataFrame:
         """A bronze topic table as a stream."""
         return self.spark.readStream.schema(schemas.ENVELOPE).options(**self.pace).parquet(self.path("bronze", name))
@@ -63,14 +58,14 @@ class Lake:
         # share one even if a title holds a bar.
         return MergeTable(
             self.spark, self.path("silver", "silver_books"), schemas.BOOKS,
-            bucket_by=("substring_index(book_id, '|', 1)",), buckets=self.bucket_count, settled="NOT current",
+            bucket_by=("substring_index(book_id, '|', 1)",), buckets=self.buckets, cluster_by=("current", "book_id"),
         )
 
     @property
     def customers(self) -> MergeTable:
         return MergeTable(
             self.spark, self.path("silver", "silver_customers"), schemas.CUSTOMERS,
-            bucket_by=("customer_id",), buckets=self.bucket_count, change_feed=True,
+            bucket_by=("customer_id",), buckets=self.buckets, change_feed=True,
         )
 
     @property
@@ -85,7 +80,7 @@ class Lake:
         return MergeTable(
             self.spark, self.path("silver", "silver_customers_orders"), schemas.CUSTOMERS_ORDERS,
             # A changed customer touches one bucket, however many orders it has.
-            bucket_by=("customer_id",), buckets=self.bucket_count,
+            bucket_by=("customer_id",), buckets=self.buckets,
             cluster_by=("order_id", "customer_id", "processed_timestamp"),
         )
 
@@ -98,7 +93,7 @@ class Lake:
         return MergeTable(
             self.spark, self.path("gold", "gold_authors_stats"), schemas.AUTHORS_STATS,
             # Open windows are recent: a batch touches the buckets of a few hours.
-            bucket_by=("date_trunc('HOUR', time.start)",), buckets=self.bucket_count,
+            bucket_by=("date_trunc('HOUR', time.start)",), buckets=self.buckets,
         )
 
     @property

@@ -56,7 +56,7 @@ def upsert_books(lake: Lake, name: str) -> BatchHandler:
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
         books = lake.books
-        known = books.read(books.touched(batch))
+        known = books.read_like(batch).persist()
         fresh = drop_known_rows(batch, known, _VALIDITY).persist()
         try:
             rows = fresh.count()
@@ -65,6 +65,7 @@ def upsert_books(lake: Lake, name: str) -> BatchHandler:
                 books.merge(with_merge_keys(fresh, known), BOOK_HISTORY, writer, batch_id)
         finally:
             fresh.unpersist()
+            known.unpersist()
 
     return handle
 
@@ -142,7 +143,7 @@ def append_books_orders(lake: Lake) -> BatchHandler:
     """Join each batch with the books as they are now; lines without a book are lost."""
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
-        lines = lines_with_books(explode_lines(batch), lake.books.live())
+        lines = lines_with_books(explode_lines(batch), lake.books.read())
         lake.books_orders.append(as_schema(lines, schemas.BOOKS_ORDERS), writer, batch_id)
 
     return handle

@@ -34,6 +34,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in names if not name.startswith(("_", ".")))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    system, target = _open(spark, path)
+    return system.getContentSummary(target).getLength()
+
+
 def publish(spark: SparkSession, staged: str, final: str) -> bool:
     """Rename a finished folder or file to its final name; false if that name is taken."""
     system, source = _open(spark, staged)

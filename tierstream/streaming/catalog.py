@@ -126,16 +126,13 @@ class CatalogTable:
     def create(self) -> CatalogTable:
         return self
 
-    def read(self, buckets: list[int] | None = None) -> DataFrame:
+    def read(self) -> DataFrame:
         return self.spark.read.table(self.name)
 
-    def live(self) -> DataFrame:
+    def read_like(self, batch: DataFrame) -> DataFrame:
+        """All rows: the format prunes files itself."""
         return self.read()
 
-    def touched(self, rows: DataFrame) -> None:
-        """No buckets: the format prunes files itself."""
-        return None
-
     def stream(self, **options: str) -> DataFrame:
         return self.spark.readStream.options(**options).table(self.name)
 

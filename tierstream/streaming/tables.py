@@ -1,9 +1,10 @@
 """Tables on a plain Parquet folder, written by foreachBatch and safe to replay.
 
 ``AppendTable`` only grows and can be read as a stream. ``MergeTable`` is changed by
-merge policies: rows live in hash buckets of their key, and a merge rewrites the
-buckets its batch touches, nothing else. A table format with a native MERGE does
-the same job better: see :mod:`tierstream.streaming.catalog`.
+merge policies: a merge appends the effects of its batch, and the table is the newest
+effect of each row. What is written is also the change feed, so table and feed are one
+commit. A table format with a native MERGE does the same job: see
+:mod:`tierstream.streaming.catalog`.
 """
 
 from __future__ import annotations
@@ -12,16 +13,20 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierstream import schemas
-from tierstream.operators.merge import Policy, change_rows, key_summary, merge_rows
+from tierstream.operators.latest import newest_per_key
+from tierstream.operators.merge import MergeError, Policy, change_rows, merge_effects
 from tierstream.sources import files
 
+# A stored row's identity: the commit that inserted it, and its place there.
+_ROW = ["_born", "_number"]
+_EFFECT_COLUMNS = "_effect STRING, _version BIGINT, _at TIMESTAMP, _born BIGINT, _number BIGINT"
+_BYTES_PER_BUCKET = 512 * 2**20
+
 
 @dataclass(frozen=True)
 class AppendTable:
@@ -64,205 +69,203 @@ class AppendTable:
 
 
 @dataclass
-class Head:
-    """What a table consists of after a merge; writing it commits the merge."""
+class Commit:
+    """What a commit says besides its rows: kept beside them, published by the same rename."""
 
     version: int = -1
-    buckets: int = 0
-    live: dict[str, int] = field(default_factory=dict)  # bucket -> version that wrote it
-    settled: list[int] = field(default_factory=list)  # versions that added settled rows
-    writer: str = ""
-    batch_id: int = -1
-    committed_at: str = ""
+    at: str = ""
+    batches: dict[str, int] = field(default_factory=dict)  # writer -> its last batch
 
 
 @dataclass(frozen=True)
 class MergeTable:
     """A table changed by merge policies, one writer at a time.
 
-    ``bucket_by`` are SQL expressions over the row that are equal whenever the match
-    keys are, best such that one batch falls into few buckets; aim for buckets of about
-    a gigabyte. Rows fulfilling ``settled`` (SQL)
-    can never match again: they leave the buckets for append-only segments, so a
-    long history of one key is neither rewritten nor shuffled.
+    Each merge appends one folder of effects: the rows it inserted, changed or deleted, with
+    the version, so its output follows the batch whatever the table's size. A row is known
+    by the commit that inserted it and its place there, and its newest effect is its state.
+    :meth:`rewrite_base` folds the effects so far into a base, from which reading goes on;
+    a merge does so by itself every ``base_after`` commits.
+
+    The base lies in hash buckets of ``bucket_by``, SQL expressions over the row that are
+    equal whenever the match keys are; a merge reads the buckets of its batch only.
+    ``change_feed`` keeps the rows as they were before an update, too.
     """
 
     spark: SparkSession
     path: str
     schema: str
     bucket_by: tuple[str, ...]
-    buckets: int
-    settled: str | None = None
+    buckets: int | None = None
     change_feed: bool = False
     cluster_by: tuple[str, ...] = ()
+    base_after: int = 100
 
     # -- reading ---------------------------------------------------------------
 
     def create(self) -> MergeTable:
-        files.make_folder(self.spark, f"{self.path}/heads")
-        if self.change_feed:
-            self.changes.create()
+        files.make_folder(self.spark, self._effects.path)
         return self
 
     @property
-    def changes(self) -> AppendTable:
+    def changes(self) -> ChangeFeed:
         """Change feed: all columns plus change type, version and commit time."""
-        return AppendTable(self.spark, f"{self.path}/changes", f"{self.schema}, {schemas.CHANGE_COLUMNS}")
-
-    def head(self) -> Head:
-        names = files.children(self.spark, f"{self.path}/heads")
-        if not names:
-            return Head(buckets=self.buckets)
-        return Head(**json.loads(files.read_text(self.spark, f"{self.path}/heads/{names[-1]}")))
-
-    def read(self, buckets: list[int] | None = None, head: Head | None = None) -> DataFrame:
-        """The current rows, or those of some buckets only."""
-        head = head or self.head()
-        parts = [self._live(head, buckets)]
-        if head.settled:
-            parts.append(self._settled(head, buckets))
-        return reduce(DataFrame.unionByName, parts)
-
-    def live(self) -> DataFrame:
-        """The current rows without the settled ones."""
-        return self._live(self.head(), None)
-
-    def _live(self, head: Head, buckets: list[int] | None) -> DataFrame:
-        wanted = head.live if buckets is None else {str(b) for b in buckets} & head.live.keys()
-        folders = [f"{self.path}/data/v={head.live[b]}/bucket={b}" for b in sorted(wanted)]
-        if not folders:
-            fields = StructType.fromDDL(self.schema)
-            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", True)
-        return reader.parquet(*folders)
-
-    def _settled(self, head: Head, buckets: list[int] | None) -> DataFrame:
-        folders = [f"{self.path}/settled/v={version}" for version in head.settled]
-        reader = self.spark.read.schema(f"{self.schema}, bucket INT").option("recursiveFileLookup", True)
-        rows = reader.parquet(*folders)
-        if buckets is not None and len(buckets) < head.buckets:
-            rows = rows.filter(F.col("bucket").isin(buckets))
-        return rows.drop("bucket")
-
-    def touched(self, rows: DataFrame, head: Head | None = None) -> list[int]:
-        """The buckets some rows belong to: at most one number per bucket of the table."""
-        bucket = self._bucket((head or self.head()).buckets)
-        return rows.agg(F.collect_set(bucket).alias("found")).first()["found"]
+        return ChangeFeed(self._effects, tuple(self._columns))
+
+    @property
+    def _effects(self) -> AppendTable:
+        return AppendTable(self.spark, f"{self.path}/effects", f"{self.schema}, {_EFFECT_COLUMNS}")
+
+    @property
+    def _columns(self) -> list[str]:
+        return StructType.fromDDL(self.schema).names
+
+    def last_commit(self) -> Commit:
+        versions = self._versions("effects")
+        if not versions:
+            return Commit()
+        return Commit(**json.loads(files.read_text(self.spark, f"{self._folder('effects', versions[-1])}/_commit.json")))
+
+    def read(self) -> DataFrame:
+        """The current rows."""
+        return self._rows().select(*self._columns)
+
+    def read_like(self, batch: DataFrame) -> DataFrame:
+        """The current rows that share the values of ``bucket_by`` with some row of a batch,
+        which holds all columns these need."""
+        keys = [F.expr(e).alias(f"_key{i}") for i, e in enumerate(self.bucket_by)]
+        wanted = batch.select(*keys).distinct()
+        rows = self._rows(self._touched(batch)).select("*", *keys)
+        same = [rows[f"_key{i}"].eqNullSafe(wanted[f"_key{i}"]) for i in range(len(keys))]
+        return rows.join(wanted, same, "left_semi").select(*self._columns)
+
+    def _rows(self, buckets: list[int] | None = None) -> DataFrame:
+        """The current rows with their identity: those of the base that nothing happened to
+        since, and the newest effects."""
+        bases, versions = self._versions("base"), self._versions("effects")
+        if bases:
+            versions = [v for v in versions if v > bases[-1]]
+        reader = self.spark.read.schema(self._effects.schema)
+        folders = [self._folder("effects", v) for v in versions]
+        effects = reader.parquet(*folders) if folders else self.spark.createDataFrame([], self._effects.schema)
+        newest = effects.filter("_effect <> 'update_preimage'")
+        if len(versions) > 1:
+            newest = newest_per_key(newest, _ROW, "_version", ties=[])
+        current = newest.filter("_effect <> 'delete'").select(*self._columns, *_ROW)
+        if not bases:
+            return current
+        schema = f"{self.schema}, _born BIGINT, _number BIGINT, _bucket INT"
+        base = self.spark.read.schema(schema).parquet(self._folder("base", bases[-1]))
+        if buckets is not None:
+            base = base.filter(F.col("_bucket").isin(buckets))
+        base = base.drop("_bucket")
+        if not versions:
+            return base
+        return base.join(newest.select(*_ROW), _ROW, "left_anti").select(*current.columns).unionByName(current)
+
+    def _touched(self, batch: DataFrame) -> list[int] | None:
+        """The base's buckets that a batch belongs to, at most one number each; none without a base."""
+        bases = self._versions("base")
+        if not bases:
+            return None
+        stored = json.loads(files.read_text(self.spark, f"{self._folder('base', bases[-1])}/_base.json"))
+        return batch.agg(F.collect_set(self._bucket(stored["buckets"])).alias("found")).first()["found"]
 
     def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.hash(*[F.expr(e) for e in self.bucket_by]), F.lit(buckets)).alias("bucket")
+        return F.pmod(F.hash(*[F.expr(e) for e in self.bucket_by]), F.lit(buckets)).alias("_bucket")
+
+    def _versions(self, kind: str) -> list[int]:
+        names = files.children(self.spark, f"{self.path}/{kind}")
+        return sorted(int(name.removeprefix("v=")) for name in names if name.startswith("v="))
+
+    def _folder(self, kind: str, version: int) -> str:
+        return f"{self.path}/{kind}/v={version:020d}"
 
     # -- writing ---------------------------------------------------------------
 
     def merge(self, source: DataFrame, policy: Policy, writer: str, batch_id: int) -> bool:
         """Apply a policy to a batch; false if this batch has been applied before.
 
-        Order of writing: change feed, settled rows, live buckets, head. Until the
-        head is there none of it counts, except the change feed's batch, which a
-        repeated attempt at the same version leaves alone.
+        The effects are staged, checked, and count from the rename that publishes them
+        together with the commit's own data: until then nothing has happened, so another
+        batch may take the place of one that failed. A batch without effect is no commit.
         """
-        head = self.head()
-        if head.writer == writer and batch_id <= head.batch_id:
+        last = self.last_commit()
+        if batch_id <= last.batches.get(writer, -1):
             return False
+        at = datetime.now(UTC)
+        if last.at:
+            at = max(at, datetime.fromisoformat(last.at) + timedelta(milliseconds=1))
+        commit = Commit(last.version + 1, at.isoformat(), last.batches | {writer: batch_id})
+        staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         source = source.persist()
-        held = [source]
         try:
-            # One job: the state of the keys, and the buckets, at most one number each.
-            summary = key_summary(source, policy, self._bucket(head.buckets)).first()
-            touched = summary["values0"]
-            if touched:
-                merged = merge_rows(self._live(head, touched), source, policy, summary, held)
-                if self.change_feed or self.settled:
-                    merged = merged.persist()
-                    held.append(merged)
-                self._write(merged, head, touched, writer, batch_id)
+            merged = merge_effects(self._rows(self._touched(source)), source, policy, _ROW)
+            effects = change_rows(merged, _ROW, before=self.change_feed)
+            effects.select(
+                *self._columns, "_effect",
+                F.lit(commit.version).cast("bigint").alias("_version"), F.lit(at).alias("_at"),
+                F.coalesce("_born", F.lit(commit.version)).cast("bigint").alias("_born"),
+                F.coalesce("_number", F.monotonically_increasing_id()).alias("_number"),
+            ).write.parquet(staged)
         finally:
-            for frame in held:
-                frame.unpersist()
+            source.unpersist()
+        # Staged, so that the check is one small job over what was written.
+        written = self.spark.read.schema(self._effects.schema).parquet(staged).filter("_effect <> 'update_preimage'")
+        rows, most = written.groupBy(*_ROW).count().agg(F.count("*"), F.max("count")).first()
+        if rows == 0 or most > 1:
+            files.remove(self.spark, staged)
+            if rows:
+                raise MergeError("several source rows match and would change the same target row")
+            return True
+        self._publish(staged, commit)
+        bases = self._versions("base")
+        if commit.version - (bases[-1] if bases else -1) >= self.base_after:
+            self.rewrite_base()
         return True
 
-    def _write(self, merged: DataFrame, head: Head, touched: list[int], writer: str, batch_id: int) -> None:
-        version = head.version + 1
-        at = datetime.now(UTC)
-        if head.committed_at:
-            at = max(at, datetime.fromisoformat(head.committed_at) + timedelta(milliseconds=1))
-        rows = (
-            merged.select("action", F.coalesce("after", "t").alias("row"))
-            .select("action", "row.*")
-            .withColumn("bucket", self._bucket(head.buckets))
-        )
-        settled = F.coalesce(F.expr(self.settled or "false"), F.lit(False)) & (F.col("action") != "delete")
-        changed, settles = touched, False
-        if self.change_feed or self.settled:
-            # One pass over the persisted merge: which buckets really change?
-            changed, settles = rows.agg(
-                F.collect_set(F.when(F.col("action") != "keep", F.col("bucket"))),
-                F.coalesce(F.bool_or(settled), F.lit(False)),
-            ).first()
-
-        if self.change_feed and changed:
-            feed = change_rows(merged).withColumns(
-                {"_commit_version": F.lit(version).cast("bigint"), "_commit_timestamp": F.lit(at)}
-            )
-            self.changes.append(feed.hint("rebalance"), "version", version)
-        segments = list(head.settled)
-        if settles:
-            done = rows.filter(settled).drop("action").hint("rebalance", "bucket")
-            done.sortWithinPartitions("bucket").write.mode("overwrite").parquet(f"{self.path}/settled/v={version}")
-            segments.append(version)
-        live = dict(head.live)
-        if changed:
-            kept = rows.filter((F.col("action") != "delete") & ~settled).drop("action")
-            if len(changed) < len(touched):
-                kept = kept.filter(F.col("bucket").isin(changed))
-            self._write_buckets(kept, version)
-            for bucket in changed:
-                live.pop(str(bucket), None)
-            names = files.children(self.spark, f"{self.path}/data/v={version}")
-            live.update({name.removeprefix("bucket="): version for name in names if name.startswith("bucket=")})
-        self._commit(Head(version, head.buckets, live, segments, writer, batch_id, at.isoformat()))
-
-    def _write_buckets(self, rows: DataFrame, version: int) -> None:
+    def _publish(self, staged: str, commit: Commit) -> None:
+        files.write_text(self.spark, f"{staged}/_commit.json", json.dumps(asdict(commit)))
+        if not files.publish(self.spark, staged, self._folder("effects", commit.version)):
+            raise RuntimeError(f"another writer has committed version {commit.version} of {self.path}")
+
+    def rewrite_base(self, keep: int = 2) -> None:
+        """Fold all effects so far into a new base, by one job; the change feed stays.
+
+        Of older bases, the newest ``keep`` - 1 remain for readers that still use them.
+        """
+        version, bases = self.last_commit().version, self._versions("base")
+        if version < 0 or (bases and bases[-1] == version):
+            return
+        later = [self._folder("effects", v) for v in self._versions("effects") if not bases or v > bases[-1]]
+        size = sum(files.size(self.spark, path) for path in [*later, *[self._folder("base", b) for b in bases[-1:]]])
+        buckets = self.buckets or -(-size // _BYTES_PER_BUCKET)
+        staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         # Rebalancing splits an oversized bucket over tasks and joins small ones.
-        ordered = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *self.cluster_by)
-        ordered.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={version}")
+        rows = self._rows().withColumn("_bucket", self._bucket(buckets)).hint("rebalance", "_bucket")
+        rows.sortWithinPartitions("_bucket", *self.cluster_by).write.partitionBy("_bucket").parquet(staged)
+        files.write_text(self.spark, f"{staged}/_base.json", json.dumps({"buckets": buckets}))
+        if not files.publish(self.spark, staged, self._folder("base", version)):
+            files.remove(self.spark, staged)
+        for old in self._versions("base")[:-keep]:
+            files.remove(self.spark, self._folder("base", old))
 
-    def _commit(self, head: Head) -> None:
-        staged = f"{self.path}/heads/_{uuid.uuid4().hex}"
-        files.write_text(self.spark, staged, json.dumps(asdict(head)))
-        if not files.publish(self.spark, staged, f"{self.path}/heads/{head.version:020d}.json"):
-            raise RuntimeError(f"another writer has committed version {head.version} of {self.path}")
 
-    # -- upkeep ----------------------------------------------------------------
+@dataclass(frozen=True)
+class ChangeFeed:
+    """The effects of a merged table under the names of a change feed."""
 
-    def compact_settled(self) -> None:
-        """Rewrite the settled segments, one per merge so far, as a single one."""
-        head = self.head()
-        if len(head.settled) < 2:
-            return
-        version = head.version + 1
-        rows = self._settled(head, None).withColumn("bucket", self._bucket(head.buckets))
-        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket").write.mode("overwrite").parquet(
-            f"{self.path}/settled/v={version}"
-        )
-        self._commit(
-            Head(version, head.buckets, head.live, [version], head.writer, head.batch_id, head.committed_at)
-        )
+    effects: AppendTable
+    columns: tuple[str, ...]
+
+    def read(self) -> DataFrame:
+        return self._named(self.effects.read())
 
-    def drop_old_versions(self, keep: int = 2) -> None:
-        """Delete what the newest ``keep`` versions do not refer to. Not while read."""
-        folder = f"{self.path}/heads"
-        names = files.children(self.spark, folder)
-        kept = [Head(**json.loads(files.read_text(self.spark, f"{folder}/{n}"))) for n in names[-keep:]]
-        live = {(version, bucket) for head in kept for bucket, version in head.live.items()}
-        for version in files.children(self.spark, f"{self.path}/data"):
-            for bucket in files.children(self.spark, f"{self.path}/data/{version}"):
-                key = (int(version.removeprefix("v=")), bucket.removeprefix("bucket="))
-                if bucket.startswith("bucket=") and key not in live:
-                    files.remove(self.spark, f"{self.path}/data/{version}/{bucket}")
-        settled = {f"v={version}" for head in kept for version in head.settled}
-        for version in files.children(self.spark, f"{self.path}/settled"):
-            if version not in settled:
-                files.remove(self.spark, f"{self.path}/settled/{version}")
-        for name in names[:-keep]:
-            files.remove(self.spark, f"{folder}/{name}")
+    def stream(self, **options: str) -> DataFrame:
+        return self._named(self.effects.stream(**options))
+
+    def _named(self, rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *self.columns, F.col("_effect").alias("_change_type"), F.col("_version").alias("_commit_version"),
+            F.col("_at").alias("_commit_timestamp"),
+        )
