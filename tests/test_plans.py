@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tests.helpers import day
 from tierstream import schemas
-from tierstream.operators.dedup import rows_not_in, time_span
+from tierstream.operators.curve import curve, ranks
+from tierstream.operators.dedup import rows_and_days, rows_not_in
 from tierstream.operators.joins import broadcast_if_small
 from tierstream.operators.latest import newest_per_key
 from tierstream.operators.merge import CUSTOMER_STATE, merge_effects
-from tierstream.plans import shop
+from tierstream.plans import shop, silver
+from tierstream.plans.lake import Lake
 from tierstream.session import pipeline_session, working_folder
 
 FOLDER = "/root/testdata/sf0.001"
@@ -52,14 +54,57 @@ def test_aggregates_combine_before_the_shuffle(raw_spark):
         assert "partial_count" in plan(contract.queries()[name](raw_spark, FOLDER))
 
 
-def test_insert_only_reads_the_batch_time_span(spark, tmp_path):
-    frame = spark.createDataFrame([("a", day(1)), ("b", day(9))], "order_id STRING, order_timestamp TIMESTAMP")
-    frame.write.parquet(str(tmp_path / "t"))
+def test_insert_only_reads_the_days_of_the_batch(spark, tmp_path):
+    """One order of 1970 among new ones costs one more day, not all days in between."""
+    orders = Lake(spark, str(tmp_path)).create().orders
+    stored = spark.range(400).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.timestamp_seconds(F.col("id") * 86_400 * 40).alias("order_timestamp"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], schemas.ORDERS).schema[2:]],
+    )
+    orders.append(stored, "w", 0)
+    orders.append(stored.filter("false"), "w", 1)
+    orders.append(stored.filter("order_id = '7'").withColumn("order_timestamp", F.lit(None).cast("timestamp")), "w", 2)
+    batch = stored.filter("order_id IN ('0', '399')").union(stored.filter("order_id = '399'").withColumn("order_id", F.lit("new")))
+    count, days = rows_and_days(batch, "order_timestamp")
+    assert (count, len(days)) == (3, 2)
+    known = orders.read_days(days)
+    scan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*_day", scan)
+    assert known.select("_metadata.file_path").distinct().count() == 2
+    new = rows_not_in(batch, known, ["order_id", "order_timestamp"])
+    assert [r["order_id"] for r in new.collect()] == ["new"]
+    assert orders.read().count() == 401
+
+
+def test_each_message_is_parsed_once(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path)).create()
+    messages = spark.createDataFrame([], schemas.ENVELOPE)
+    for build in (silver.clean_books, silver.clean_orders, silver.clean_customers):
+        text = build(messages)._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json") == 1
+    text = silver.clean_orders(messages)._jdf.queryExecution().optimizedPlan().toString()
+    # Unusable order ids go before the rows are dealt by them.
+    assert text.index("Aggregate") < text.index("lower(order_id") and lake.orders.read().count() == 0
+
+
+def test_a_filter_on_any_cluster_column_skips_files(spark, tmp_path):
+    frame = spark.range(20_000).select(
+        F.sha1(F.col("id").cast("string")).alias("a"), (F.hash("id") % 1000).cast("double").alias("b"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("c"),
+    )
+    place = curve(ranks(frame, ["a", "b", "c"]))
+    laid = frame.withColumn("_curve", place).repartitionByRange(64, "_curve").sortWithinPartitions("_curve")
+    laid.drop("_curve").write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
-    _, first, last = time_span(frame, "order_timestamp")
-    text = plan(rows_not_in(frame, stored, ["order_id", "order_timestamp"], "order_timestamp", first, last))
-    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
-    assert "GreaterThanOrEqual(order_timestamp" in pushed and "LessThanOrEqual(order_timestamp" in pushed
+    spans = stored.groupBy("_metadata.file_path").agg(*[f(c).alias(f"{c}_{f.__name__}") for c in "abc" for f in (F.min, F.max)]).collect()
+    some = frame.limit(1).first()
+    assert len(spans) >= 60
+    for c in "abc":
+        hit = sum(s[f"{c}_min"] <= some[c] <= s[f"{c}_max"] for s in spans)
+        assert hit <= len(spans) / 2
+    empty = ranks(frame.filter("false"), ["a"])
+    assert frame.select(curve(empty).alias("x")).distinct().count() == 1
 
 
 def test_a_merge_leaves_the_table_where_it_lies(spark, tmp_path):

@@ -12,10 +12,11 @@ def parse_payload(envelopes: DataFrame, schema: str, keep: tuple[str, ...] = ())
     """JSON bytes in ``value`` to typed top-level columns.
 
     Text that is not JSON gives a row of nulls, a field of the wrong type a null.
-    ``keep`` names envelope columns to carry along.
+    ``keep`` names envelope columns to carry along. The document passes through a generator,
+    which a later filter on its fields cannot be pushed below: each message is parsed once.
     """
     document = F.from_json(F.col("value").cast("string"), schema)
-    return envelopes.select(document.alias("document"), *keep).select("document.*", *keep)
+    return envelopes.select(F.inline(F.array(document)), *keep)
 
 
 def keep_usable_keys(rows: DataFrame, *columns: str) -> DataFrame:

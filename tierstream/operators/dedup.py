@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,23 +56,12 @@ def first_arrivals(
     return thin(rows, keys)
 
 
-def time_span(rows: DataFrame, time_column: str) -> tuple[int, int | None, int | None]:
-    """Row count and first and last time in microseconds: one pass, one row."""
-    at = F.unix_micros(F.col(time_column))
-    return tuple(rows.agg(F.count("*"), F.min(at), F.max(at)).first())
-
+def rows_and_days(rows: DataFrame, time_column: str) -> tuple[int, list[date]]:
+    """Row count and the distinct days (UTC) of a time: one pass, one row."""
+    count, days = rows.agg(F.count("*"), F.collect_set(F.to_date(time_column))).first()
+    return count, sorted(days)
 
-def rows_not_in(
-    source: DataFrame, target: DataFrame, keys: list[str], time_key: str, first: int | None, last: int | None
-) -> DataFrame:
-    """Source rows whose keys are not in the target; a null key is never found there.
 
-    ``first`` and ``last`` are the source's :func:`time_span`. Only that span of
-    ``time_key`` is read from the target, which skips files and row groups by their
-    statistics.
-    """
-    if first is None or last is None:
-        return source
-    span = F.col(time_key).between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
-    known = target.filter(span).select(*keys).distinct()
-    return source.join(known, keys, "left_anti")
+def rows_not_in(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows whose keys are not in the target; a null key is never found there."""
+    return source.join(target.select(*keys).distinct(), keys, "left_anti")

@@ -148,10 +148,13 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
             cents("l_extendedprice").alias("cents"),
         ).alias("line"),
     )
-    parts = lines.groupBy("l_orderkey").agg(F.ceil(F.count("*") / LINES_PER_DOCUMENT).alias("parts"))
+    # Only orders that need a split are joined back: few rows, which Spark broadcasts if they are.
+    heavy = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).where(F.col("n") > LINES_PER_DOCUMENT).select(
+        "l_orderkey", F.ceil(F.col("n") / LINES_PER_DOCUMENT).alias("parts")
+    )
     nested = (
-        lines.join(parts, "l_orderkey")
-        .groupBy("l_orderkey", F.pmod(F.xxhash64("line"), "parts").alias("part"))
+        lines.join(heavy, "l_orderkey", "left")
+        .groupBy("l_orderkey", F.pmod(F.xxhash64("line"), F.coalesce("parts", F.lit(1))).alias("part"))
         .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
     # A part that chance or equal lines made larger than a document is cut once more.
@@ -162,9 +165,11 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.slice("lines", F.col("cut") * LINES_PER_DOCUMENT + 1, LINES_PER_DOCUMENT).alias("lines"),
     )
     header = table(spark, folder, "orders")
-    same = F.col("o_orderkey") == F.col("l_orderkey")
-    empty = header.join(nested, same, "left_anti").select(
-        "*", F.lit("0-0").alias("part"), F.array().cast(nested.schema["lines"].dataType).alias("lines")
+    documents = header.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey").withColumns(
+        {
+            "part": F.coalesce("part", F.lit("0-0")),
+            "lines": F.coalesce("lines", F.array().cast(nested.schema["lines"].dataType)),
+        }
     )
     as_text = F.transform(
         "lines",
@@ -174,7 +179,7 @@ def order_documents(spark: SparkSession, folder: str) -> DataFrame:
             money(line["cents"]).alias("subtotal"),
         ),
     )
-    return header.join(nested, same).drop("l_orderkey").unionByName(empty).select(
+    return documents.select(
         F.concat_ws("/", text("o_orderkey"), "part").alias("order_id"),
         order_time().alias("order_timestamp"),
         text("o_custkey").alias("customer_id"),

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from tierstream import schemas
 from tierstream.operators.clean import keep_usable_keys, parse_payload, price_to_number
-from tierstream.operators.dedup import drop_known_rows, first_arrivals, rows_not_in, time_span
+from tierstream.operators.dedup import drop_known_rows, first_arrivals, rows_and_days, rows_not_in
 from tierstream.operators.history import with_merge_keys
 from tierstream.operators.joins import add_country, changes_with_orders, lines_with_books
 from tierstream.operators.latest import newest_per_key, newest_with_ties
@@ -43,12 +43,14 @@ def as_schema(rows: DataFrame, schema: str) -> DataFrame:
 def clean_books(messages: DataFrame, spread: int = SPREAD) -> DataFrame:
     """Book messages to typed versions, one per book and update time.
 
-    The dedup comes before the price and key checks: a first copy that fails them
-    has used up its key.
+    The dedup comes before the price check: a first copy that fails it has used up its key.
+    Unusable keys go before the dedup: they could only use up themselves, and messages
+    without a key would all meet in one task and one state entry.
     """
     versions = parse_payload(messages, schemas.BOOK_MESSAGE, keep=tuple(_POSITION))
+    versions = keep_usable_keys(versions, "book_id")
     versions = first_arrivals(versions, ["book_id", "updated"], spread, _POSITION).drop(*_POSITION)
-    return keep_usable_keys(price_to_number(versions, "price"), "book_id")
+    return price_to_number(versions, "price")
 
 
 def upsert_books(lake: Lake, name: str) -> BatchHandler:
@@ -112,8 +114,9 @@ def silver_customers(lake: Lake, trigger: Trigger = Trigger(), name: str = "silv
 def clean_orders(messages: DataFrame, spread: int = SPREAD) -> DataFrame:
     """Order messages to typed orders, one per order and time; as for books, dedup first."""
     orders = parse_payload(messages, schemas.ORDER_MESSAGE, keep=tuple(_POSITION)).filter("quantity > 0")
+    orders = keep_usable_keys(orders, "order_id")
     orders = first_arrivals(orders, ["order_id", "order_timestamp"], spread, _POSITION).drop(*_POSITION)
-    return price_to_number(keep_usable_keys(orders, "order_id", "customer_id"), "total")
+    return price_to_number(keep_usable_keys(orders, "customer_id"), "total")
 
 
 def insert_orders(lake: Lake, name: str) -> BatchHandler:
@@ -121,12 +124,11 @@ def insert_orders(lake: Lake, name: str) -> BatchHandler:
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
         orders = as_schema(clean_subtotals(batch), schemas.ORDERS)
-        rows, first, last = time_span(orders, "order_timestamp")
+        rows, days = rows_and_days(orders, "order_timestamp")
         record(lake.metrics, name, writer, batch_id, "silver_orders", rows)
         if rows:
-            keys = ["order_id", "order_timestamp"]
-            new = rows_not_in(orders, lake.orders.read(), keys, "order_timestamp", first, last)
-            lake.orders.append(new, writer, batch_id)
+            stored = lake.orders.read_days(days)
+            lake.orders.append(rows_not_in(orders, stored, ["order_id", "order_timestamp"]), writer, batch_id)
 
     return handle
 

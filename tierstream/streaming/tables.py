@@ -12,12 +12,13 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierstream.operators.curve import curve, ranks
 from tierstream.operators.latest import newest_per_key
 from tierstream.operators.merge import MergeError, Policy, change_rows, merge_effects
 from tierstream.sources import files
@@ -30,12 +31,17 @@ _BYTES_PER_BUCKET = 512 * 2**20
 
 @dataclass(frozen=True)
 class AppendTable:
-    """A folder of batches, each published whole by one rename."""
+    """A folder of batches, each published whole by one rename.
+
+    With ``day_of``, a timestamp column, each batch lies in one folder per day (UTC), so that
+    :meth:`read_days` opens those days only. ``cluster_by`` sorts the rows of each file.
+    """
 
     spark: SparkSession
     path: str
     schema: str
     cluster_by: tuple[str, ...] = ()
+    day_of: str | None = None
 
     def create(self) -> AppendTable:
         files.make_folder(self.spark, self.path)
@@ -56,16 +62,28 @@ class AppendTable:
         if self.has(writer, batch_id):
             return False
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        if self.cluster_by:
-            rows = rows.sortWithinPartitions(*self.cluster_by)
-        rows.write.parquet(staged)
+        order = list(self.cluster_by)
+        if self.day_of:
+            # Rebalancing writes a day by few tasks, and by several if it is large.
+            rows = rows.withColumn("_day", F.to_date(self.day_of)).hint("rebalance", "_day")
+            order = ["_day", *order]
+        if order:
+            rows = rows.sortWithinPartitions(*order)
+        write = rows.write.partitionBy("_day") if self.day_of else rows.write
+        write.parquet(staged)
         published = files.publish(self.spark, staged, self._folder(writer, batch_id))
         if not published:
             files.remove(self.spark, staged)
         return published
 
+    def read_days(self, days: list[date]) -> DataFrame:
+        """The rows of some days. Other days' folders are pruned before they are listed to
+        tasks; rows without a time belong to no day."""
+        rows = self.spark.read.schema(f"{self.schema}, batch STRING, _day DATE").parquet(self.path)
+        return rows.filter(F.col("_day").isin(days)).drop("batch", "_day")
+
     def _folder(self, writer: str, batch_id: int) -> str:
-        return f"{self.path}/batch-{writer}-{batch_id:012d}"
+        return f"{self.path}/batch={writer}-{batch_id:012d}"
 
 
 @dataclass
@@ -88,8 +106,9 @@ class MergeTable:
     a merge does so by itself every ``base_after`` commits.
 
     The base lies in hash buckets of ``bucket_by``, SQL expressions over the row that are
-    equal whenever the match keys are; a merge reads the buckets of its batch only.
-    ``change_feed`` keeps the rows as they were before an update, too.
+    equal whenever the match keys are; a merge reads the buckets of its batch only. Within a
+    bucket, rows follow a curve through the ``cluster_by`` columns, so that a filter on any
+    one of them skips files by their statistics. ``change_feed`` keeps the rows as they were before an update, too.
     """
 
     spark: SparkSession
@@ -241,9 +260,12 @@ class MergeTable:
         size = sum(files.size(self.spark, path) for path in [*later, *[self._folder("base", b) for b in bases[-1:]]])
         buckets = self.buckets or -(-size // _BYTES_PER_BUCKET)
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        # Rebalancing splits an oversized bucket over tasks and joins small ones.
-        rows = self._rows().withColumn("_bucket", self._bucket(buckets)).hint("rebalance", "_bucket")
-        rows.sortWithinPartitions("_bucket", *self.cluster_by).write.partitionBy("_bucket").parquet(staged)
+        rows, place = self._rows().withColumn("_bucket", self._bucket(buckets)), F.lit(0)
+        if self.cluster_by:
+            place = curve(ranks(rows, list(self.cluster_by)))
+        # Ranges of bucket and curve: an oversized bucket is several tasks' work and several files.
+        rows = rows.withColumn("_curve", place).repartitionByRange("_bucket", "_curve")
+        rows.sortWithinPartitions("_bucket", "_curve").drop("_curve").write.partitionBy("_bucket").parquet(staged)
         files.write_text(self.spark, f"{staged}/_base.json", json.dumps({"buckets": buckets}))
         if not files.publish(self.spark, staged, self._folder("base", version)):
             files.remove(self.spark, staged)
