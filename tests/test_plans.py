@@ -70,8 +70,12 @@ def test_insert_only_reads_the_days_of_the_batch(spark, tmp_path):
     assert (count, len(days)) == (3, 2)
     known = orders.read_days(days)
     scan = known._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[.*_day", scan)
-    assert known.select("_metadata.file_path").distinct().count() == 2
+    assert re.search(r"PartitionFilters: \[.*_month", scan)
+    assert known._jdf.queryExecution().optimizedPlan().toString().count("order_timestamp#") >= 4  # two spans
+    assert known.count() == 2 and known.select("_metadata.file_path").distinct().count() == 2
+    many = rows_and_days(stored, "order_timestamp")[1]
+    assert orders.read_days(many).count() == 400 and orders.read_days(many, spans=1).count() == 400
+    assert orders.read_days([]).count() == 0
     new = rows_not_in(batch, known, ["order_id", "order_timestamp"])
     assert [r["order_id"] for r in new.collect()] == ["new"]
     assert orders.read().count() == 401

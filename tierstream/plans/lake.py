@@ -72,7 +72,7 @@ class Lake:
     def orders(self) -> AppendTable:
         return AppendTable(
             self.spark, self.path("silver", "silver_orders"), schemas.ORDERS,
-            cluster_by=("order_id",), day_of="order_timestamp",
+            cluster_by=("order_id",), time="order_timestamp",
         )
 
     @property

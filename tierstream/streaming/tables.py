@@ -33,15 +33,17 @@ _BYTES_PER_BUCKET = 512 * 2**20
 class AppendTable:
     """A folder of batches, each published whole by one rename.
 
-    With ``day_of``, a timestamp column, each batch lies in one folder per day (UTC), so that
-    :meth:`read_days` opens those days only. ``cluster_by`` sorts the rows of each file.
+    With ``time``, a timestamp column, each batch lies in one folder per month (UTC), sorted
+    by time, so that :meth:`read_days` lists the months of its days only and reads their row
+    groups by the days' statistics. Folders per day would leave a backlog in thousands of
+    files. ``cluster_by`` sorts rows of the same time.
     """
 
     spark: SparkSession
     path: str
     schema: str
     cluster_by: tuple[str, ...] = ()
-    day_of: str | None = None
+    time: str | None = None
 
     def create(self) -> AppendTable:
         files.make_folder(self.spark, self.path)
@@ -63,24 +65,35 @@ class AppendTable:
             return False
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         order = list(self.cluster_by)
-        if self.day_of:
-            # Rebalancing writes a day by few tasks, and by several if it is large.
-            rows = rows.withColumn("_day", F.to_date(self.day_of)).hint("rebalance", "_day")
-            order = ["_day", *order]
+        if self.time:
+            # Rebalancing writes a month by few tasks, and by several if it is large.
+            rows = rows.withColumn("_month", F.date_trunc("month", self.time).cast("date")).hint("rebalance", "_month")
+            order = ["_month", self.time, *order]
         if order:
             rows = rows.sortWithinPartitions(*order)
-        write = rows.write.partitionBy("_day") if self.day_of else rows.write
+        write = rows.write.partitionBy("_month") if self.time else rows.write
         write.parquet(staged)
         published = files.publish(self.spark, staged, self._folder(writer, batch_id))
         if not published:
             files.remove(self.spark, staged)
         return published
 
-    def read_days(self, days: list[date]) -> DataFrame:
-        """The rows of some days. Other days' folders are pruned before they are listed to
-        tasks; rows without a time belong to no day."""
-        rows = self.spark.read.schema(f"{self.schema}, batch STRING, _day DATE").parquet(self.path)
-        return rows.filter(F.col("_day").isin(days)).drop("batch", "_day")
+    def read_days(self, days: list[date], spans: int = 16) -> DataFrame:
+        """At least the rows of some days, and of other days only those in between: the days
+        are taken as ``spans`` ranges, cut at the largest gaps. Rows without a time belong to
+        no day."""
+        rows = self.spark.read.schema(f"{self.schema}, batch STRING, _month DATE").parquet(self.path)
+        if not days:
+            return rows.filter("false").drop("batch", "_month")
+        days = sorted(days)
+        gaps = sorted(range(1, len(days)), key=lambda i: days[i] - days[i - 1], reverse=True)[: spans - 1]
+        edges = [0, *sorted(gaps), len(days)]
+        wanted = F.lit(False)
+        for low, high in zip(edges, edges[1:]):
+            first, last = (F.lit(d).cast("timestamp") for d in (days[low], days[high - 1] + timedelta(days=1)))
+            wanted |= (F.col(self.time) >= first) & (F.col(self.time) < last)
+        months = {d.replace(day=1) for d in days}
+        return rows.filter(F.col("_month").isin(months) & wanted).drop("batch", "_month")
 
     def _folder(self, writer: str, batch_id: int) -> str:
         return f"{self.path}/batch={writer}-{batch_id:012d}"
