@@ -113,6 +113,17 @@ def shingle_set(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))) if words else frozenset()
 
 
+def test_near_duplicates_of_repeated_ids(raw_spark):
+    """A doc_id with several texts links what any of them links."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (4, c), (5, c), (None, a), (6, None), (7, b), (7, "few words")]
+    got = superminhash.near_duplicates(raw_spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {(r["doc_id"], r["component_id"], r["kept"]) for r in got.collect()}
+    assert found == {
+        (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 4, False), (None, None, True), (6, 6, True), (7, 1, False),
+    }
+
+
 def test_near_duplicates(docs):
     sets = {i: shingle_set(t) for i, t in rows_of_text()}
     root = {i: i for i in sets}

@@ -8,13 +8,15 @@ document is still above j + 1, so a long document stops after one draw per eleme
 
 Signatures are cut into bands; documents that share a band are candidates, and every
 candidate link is confirmed on the full sets (56-bit shingle hashes). Documents with
-equal sets are one node, so a group of copies costs one row. Within a band the smallest document
+equal sets are one node, so a group of copies costs one row. Within a band the smallest node
 is compared with all others first; links found are joined by union-find, and only pairs of
-a band that are then still in different groups are compared with each other. With 32 bands
-of 4 slots a pair at similarity 0.75 is missed with a chance of 5 in a million.
+a band that are then still in different groups are compared with each other; union-find
+then goes on from the groups. With 32 bands of 4 slots a pair at similarity 0.75 is missed
+with a chance of 5 in a million.
 
 Empty sets link with nothing. Null doc_id: linked with nothing, no component, kept. Rows
-with the same doc_id are one node. Null text is empty. Other columns are ignored.
+with the same doc_id are one document that holds all their sets: it links what any of them
+links. Null text is empty. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +35,6 @@ from tierstream.session import working_folder
 SLOTS, ROWS = 128, 4
 _BYTES_AT_ONCE = 4_000_000
 _FRACTION = np.uint64(56)
-_STARS = 3  # rounds before all remaining pairs are compared
 _CROWDED, _BLOCK = 8, 128
 _COLUMNS = 16_384
 
@@ -110,6 +111,18 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def set_digests(found: np.ndarray, of: np.ndarray, docs: int) -> list[pa.Array]:
+    """Two 64-bit numbers that name a document's set."""
+    digests = []
+    starts, _ = B.groups(of)
+    for seed in (37, 38):
+        total = np.zeros(docs, np.uint64)
+        if len(starts):
+            total[of[starts]] = np.add.reduceat(B.mix(found ^ B.series(1, seed)[0]), starts)
+        digests.append(pa.array(total.view(np.int64)))
+    return digests
+
+
 def _sketch(width: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,13 +137,7 @@ def _sketch(width: int):
                 for k in range(ROWS):
                     bands += slots[:, k::ROWS] * factors[k]
                 bands = B.mix(bands + B.series(SLOTS // ROWS, 36))
-                digests = []
-                for seed in (37, 38):
-                    total = np.zeros(docs, np.uint64)
-                    starts, _ = B.groups(of)
-                    if len(starts):
-                        total[of[starts]] = np.add.reduceat(B.mix(found ^ B.series(1, seed)[0]), starts)
-                    digests.append(pa.array(total.view(np.int64)))
+                digests = set_digests(found, of, docs)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(docs + 1) * (SLOTS // ROWS), pa.int32()),
                     pa.array(bands.reshape(-1).view(np.int64)),
@@ -149,12 +156,13 @@ def _full_sets(width: int):
             texts = batch.column("text")
             for low, high in slices(texts):
                 found, of = shingles(texts.slice(low, high - low), width)
+                digests = set_digests(found, of, high - low)
                 found = found >> np.uint64(8)
                 cuts = np.searchsorted(of, np.arange(high - low + 1))
                 blobs = [B.dump(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array(blobs, pa.binary())],
-                    names=["node", "elements"],
+                    [batch.column("doc_id").slice(low, high - low), *digests, pa.array(blobs, pa.binary())],
+                    names=["doc_id", "set_a", "set_b", "elements"],
                 )
 
     return full_sets
@@ -210,19 +218,34 @@ def _trees(percent: int):
     return trees
 
 
-def _blockwise(crowd: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
-    """Links among the nodes of crowded bands: nodes that bands connect are cut into blocks,
-    and each pair of blocks is one task's work."""
-    heads = crowd.groupBy("band").agg(F.min("node").alias("a"))
-    clusters = connected(crowd.join(heads, "band").select("a", F.col("node").alias("b")), folder)
-    placed = (
-        crowd.select("node").distinct().join(clusters, "node", "left")
-        .select("node", F.coalesce("root", "node").alias("cluster"))
-    )
-    counts = placed.groupBy("cluster").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+def _blockwise(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the nodes of crowded bands that are in different groups so far.
+
+    Bands that share nodes should be one cluster, so that a pair is compared once: two steps
+    of passing on the smallest band number do most of that, and whatever they leave is right
+    all the same, as all nodes of a band are in that band's cluster. In a cluster, the nodes
+    outside its largest group are cut into blocks, and so are those inside; each pair of
+    blocks with an outer one is one task's work. Two nodes of the largest group never meet.
+    """
+    clusters = crowd.select("node", "band", "root", F.col("band").alias("cluster"))
+    for _ in range(2):
+        of_node = clusters.groupBy("node").agg(F.min("cluster").alias("least"))
+        passed = clusters.join(of_node, "node").groupBy("band").agg(F.min("least").alias("cluster"))
+        clusters = clusters.drop("cluster").join(passed, "band")
+    members = clusters.select("cluster", "node", "root").distinct()
+    sizes = members.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("cluster").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("inner"), F.sum("n").alias("all")
+    ).select(
+        "cluster", "largest", F.ceil((F.col("all") - F.col("inner")) / _BLOCK).cast("int").alias("outer"),
+        F.ceil(F.col("inner") / _BLOCK).cast("int").alias("inner"),
+    ).where("outer > 0")
+    outside = F.col("root") != F.col("largest")
+    hashed = F.xxhash64("node")
+    own = F.when(outside, F.pmod(hashed, F.col("outer"))).otherwise(F.col("outer") + F.pmod(hashed, F.col("inner")))
+    others = F.sequence(F.lit(0), F.when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)
     each = (
-        placed.join(counts, "cluster").select("node", "cluster", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        members.join(largest, "cluster").select("node", "cluster", own.cast("int").alias("own"), F.explode(others).alias("other"))
         .select("node", "cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     )
     return each.join(sets, "node").groupBy("cluster", "x", "y").applyInArrow(_trees(percent), "a long, b long").where("a <> b")
@@ -247,23 +270,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         ),
         "sketches",
     )
+    # A node is a distinct set; the number it gets is written, so that it stays what it is.
     filled = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = filled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
+    distinct = filled.groupBy("set_a", "set_b").agg(
+        F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.min("n_shingles").alias("n_shingles")
+    )
+    nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # Bands that hold several nodes; the smallest node of each is compared with the others.
-    banded = (
-        filled.join(nodes.withColumnRenamed("node", "doc_id"), ["set_a", "set_b", "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("band"))
-    )
+    banded = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
     heads = (
-        banded.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("other"))
-        .where("head < other").select("band", "head")
+        banded.groupBy("band").agg(F.min(F.struct("node", "n_shingles")).alias("head"), F.max("node").alias("other"))
+        .where("head.node < other").select("band", "head")
     )
     shared = written(banded.join(heads, "band").select("band", "head", "node", "n_shingles"), "bands")
-    candidates = shared.select(F.explode(F.array("node", "head")).alias("doc_id")).distinct()
+    candidates = shared.select("node").distinct().join(nodes.select("node", "doc_id", "set_a", "set_b"), "node")
     sets = written(
-        texts.join(candidates, "doc_id", "left_semi").mapInArrow(_full_sets(width), "node long, elements binary")
-        .dropDuplicates(["node"]),
+        texts.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
+        .mapInArrow(_full_sets(width), "doc_id long, set_a long, set_b long, elements binary")
+        .join(candidates.select("node", "set_a", "set_b"), ["set_a", "set_b"])
+        .select("node", "elements").dropDuplicates(["node"]),
         "sets",
     )
 
@@ -274,67 +300,54 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
             _linked(percent), "a long, b long"
         )
 
-    # Star rounds: in each band, one node is compared with those of other groups. The first
-    # takes the smallest node, the second the one with most neighbours in all its bands, the
-    # others a random one that such nodes are more likely to be.
-    crowds = (
-        shared.join(shared.groupBy("band").agg(F.count("*").alias("size")), "band")
-        .groupBy("node").agg(F.sum("size").alias("crowd"))
+    near = f"100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)"
+    stars = shared.selectExpr("head AS x", "struct(node, n_shingles) AS y").where(f"x.node <> y.node AND {near}")
+    pairs = written(stars.selectExpr("x.node AS a", "y.node AS b").distinct(), "star-pairs")
+    roots = connected(written(confirmed(pairs), "star-links"), f"{folder}/star-groups")
+
+    # What is left: bands whose nodes are still in several groups.
+    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    per_band = (
+        placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+        .groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("groups"))
+        .where("groups > 1")
+        .select("band", F.expr(f"n * n - squares > {2 * _CROWDED} * n").alias("crowded"))
     )
-    shared = written(shared.drop("head").join(crowds, "node"), "neighbours")
-    links = tried = roots = None
-    for turn in range(_STARS + 1):
-        if roots is None:
-            placed = shared.withColumn("root", F.col("node"))
-        else:
-            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        per_band = (
-            placed.groupBy("band", "root").agg(F.count("*").alias("n"))
-            .groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("groups"))
-            .where("groups > 1")
-            .select("band", F.expr(f"n * n - squares > {2 * _CROWDED} * n").alias("crowded"))
-        )
-        mixed = written(placed.join(per_band, "band"), f"mixed-{turn}")
-        if mixed.isEmpty():
-            break
-        last = turn == _STARS
-        if last:  # all pairs of a band that are still in different groups
-            one = mixed.where("NOT crowded")
-        else:
-            weight = {0: -F.col("node"), 1: F.col("crowd")}.get(
-                turn, F.col("crowd") * F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 20))
-            )
-            one = mixed.groupBy("band").agg(
-                F.max_by(F.struct("node", "n_shingles", "root"), F.struct(weight.alias("w"), "node")).alias("h")
-            ).select("band", "h.*")
-        x, y = one.alias("x"), mixed.alias("y")
-        candidates = (
-            x.join(y, F.expr(
-                f"x.band = y.band AND x.root <> y.root {'AND x.node < y.node' if last else ''}"
-                f" AND 100 * least(x.n_shingles, y.n_shingles) >= {percent} * greatest(x.n_shingles, y.n_shingles)"
-            ))
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        )
-        if tried is not None:
-            candidates = candidates.join(tried, ["a", "b"], "left_anti")
-        candidates = written(candidates, f"pairs-{turn}")
-        found = confirmed(candidates)
-        if last:
-            found = found.unionByName(_blockwise(mixed.where("crowded"), sets, percent, f"{folder}/clusters"))
-        found = written(found, f"links-{turn}")
-        links = found if links is None else links.unionByName(found)
-        tried = candidates if tried is None else tried.unionByName(candidates)
-        roots = connected(links, f"{folder}/groups-{turn}")
-    if roots is None:
-        roots = spark.createDataFrame([], "node long, root long")
-
-    groups = nodes.join(roots, "node", "left").select(
-        "set_a", "set_b", F.coalesce("root", "node").alias("component")
+    mixed = written(placed.drop("head").join(per_band, "band"), "mixed")
+    few = mixed.where("NOT crowded")
+    rest = (
+        few.alias("x").join(few.alias("y"), F.expr(f"x.band = y.band AND x.root <> y.root AND x.node < y.node AND {near}"))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     )
+    links = confirmed(rest).unionByName(_blockwise(mixed.where("crowded"), sets, percent))
+
+    def merged(found: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+        """The groups after further links, which are few, between groups."""
+        one, other = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
+        between = found.join(one, "a", "left").join(other, "b", "left").select(
+            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
+        ).where("a <> b").distinct()
+        further = connected(written(between, f"{name}-links"), f"{folder}/{name}-groups")
+        up = further.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        moved = roots.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        return written(moved.unionByName(further.join(roots, "node", "left_anti")), name)
+
+    roots = merged(links, roots, "all")
+    # A doc_id with several texts holds their sets together.
+    one_set = F.struct("set_a", "set_b")
+    several = filled.groupBy("doc_id").agg(F.min(one_set).alias("x"), F.max(one_set).alias("y")).where("x < y")
+    held = filled.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "set_a", "set_b")
+    held = held.join(nodes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
+    together = held.groupBy("doc_id").agg(F.min("node").alias("a")).join(held, "doc_id").selectExpr("a", "node AS b")
+    roots = merged(together.where("a <> b").distinct(), roots, "texts")
+
+    groups = nodes.select("node", "doc_id", "set_a", "set_b").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = groups.groupBy("root").agg(F.min("doc_id").alias("component"))
+    named = groups.join(least, "root").select("set_a", "set_b", "component")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return (
-        sketches.join(groups, ["set_a", "set_b"], "left")
+        sketches.join(named, ["set_a", "set_b"], "left")
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
