@@ -113,6 +113,41 @@ def shingle_set(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))) if words else frozenset()
 
 
+def brute_segments(scores):
+    """Maximal scoring segments by their definition: the best segment, then each side."""
+    if not scores:
+        return set()
+    best = max(((sum(scores[a : b + 1]), a - b, -a, b) for a in range(len(scores)) for b in range(a, len(scores))))
+    if best[0] <= 0:
+        return set()
+    first, last = -best[2], best[3]
+    right = {(a + last + 1, b + last + 1) for a, b in brute_segments(scores[last + 1 :])}
+    return {(first, last)} | brute_segments(scores[:first]) | right
+
+
+def test_all_maximal_segments():
+    rnd = random.Random(8)
+    for _ in range(200):
+        n = rnd.randrange(1, 22)
+        at = sorted(rnd.sample(range(n), rnd.randrange(0, n + 1)))
+        hits = [rnd.randrange(1, 2**20) / 2**19 for _ in at]
+        drift = rnd.choice([0.25, 0.5, 1.0]) + rnd.randrange(2**10) / 2**20
+        scores = [-drift] * n
+        for k, x in zip(at, hits, strict=True):
+            scores[k] = x
+        assert {(a, b) for a, b, _ in toxicity.maximal_segments(at, hits, drift)} == brute_segments(scores)
+
+
+def test_segment_scan_is_linear():
+    import time
+
+    n = 20_000
+    started = time.perf_counter()
+    found = toxicity.maximal_segments([100 * k for k in range(n)], [3.0] * n, 0.05)
+    falling = toxicity.maximal_segments(list(range(0, 2 * n, 2)), [1.0] * n, 2.0)
+    assert len(found) == n and len(falling) == n and time.perf_counter() - started < 2
+
+
 def test_near_duplicates_of_repeated_ids(raw_spark):
     """A doc_id with several texts links what any of them links."""
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")

@@ -14,7 +14,8 @@ import pyarrow as pa
 
 from tierstream.llm import blocks as B
 
-_KNOWN_AT_MOST = 1_000_000
+_KNOWN_AT_MOST = 400_000  # chunks; about 50 bytes each
+_ENCODED_AT_ONCE = 4_096  # chunks; the library's results weigh a kilobyte or more each
 
 
 class ChunkEncoder:
@@ -78,17 +79,22 @@ class ChunkEncoder:
     def _learn(self, data, starts, ends, names, checks) -> None:
         if not len(names):
             return
-        raw = data.tobytes()
-        strings = [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        lists = self._encode(strings)
-        good = self._check(strings, lists) if self._check else [255] * len(lists)
-        sizes = np.array([len(x) for x in lists], np.int64)
-        new = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+        parts, all_sizes, all_good = [self.flat], [], []
+        for low in range(0, len(names), _ENCODED_AT_ONCE):
+            part = slice(low, low + _ENCODED_AT_ONCE)
+            strings = [
+                data[a:b].tobytes().decode() for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)
+            ]
+            lists = self._encode(strings)
+            all_good.append(np.array(self._check(strings, lists) if self._check else [255] * len(lists), np.uint8))
+            all_sizes.append(np.array([len(x) for x in lists], np.int64))
+            parts.append(np.fromiter((i for x in lists for i in x), np.uint32, int(all_sizes[-1].sum())))
+        sizes = np.concatenate(all_sizes)
         at = len(self.flat) + np.cumsum(sizes) - sizes
-        self.flat = np.append(self.flat, new)
+        self.flat = np.concatenate(parts)
         order = np.argsort(keys := np.append(self.keys, names), kind="stable")
         self.keys, self.checks = keys[order], np.append(self.checks, checks)[order]
-        self.good = np.append(self.good, np.array(good, np.uint8))[order]
+        self.good = np.concatenate([self.good, *all_good])[order]
         self.at, self.sizes = np.append(self.at, at)[order], np.append(self.sizes, sizes)[order]
 
 

@@ -17,8 +17,9 @@ the training sample turns the sum into the score.
 
 The model is fitted on at most ``per_class`` toxic and as many clean training rows, chosen
 by a hash of doc_id. Where that thins one class more than the other, its rows weigh more in
-the z scores and in the curve, so that both see the mix of all training labels. The model has at most ``vocabulary`` weights: these two bounds are what the
-driver and the broadcast hold. Scoring is one pass over all texts without a shuffle.
+the z scores and in the curve, so that both see the mix of all training labels. The driver
+holds the sample's labels and the weights of tokens that stand out in it. Scoring is one
+pass over all texts without a shuffle.
 
 Null or empty text: no tokens; the score is that of a text without toxic words. Null
 doc_id: scored, held out like any other (the crc32 of null is null: not held out). Labels
@@ -75,25 +76,27 @@ def maximal_segments(at: list[int], scores: list[float], drift: float) -> list[t
     """All maximal scoring segments (first, last, score) where position at[i] has scores[i]
     and every other position has -drift.
 
-    Candidates are kept as (first, last, sum before it, sum up to its end). A new one joins
-    with the nearest earlier candidate that starts lower, unless that one ends as high.
+    Candidates are kept as (first, last, sum before it, sum up to its end, number of the
+    nearest earlier candidate that starts lower). A new one joins with the nearest earlier
+    candidate that starts lower, unless that one ends as high; the numbers lead there without
+    a walk over all candidates, so the work is linear.
     """
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     total, last = 0.0, -1
     for position, score in zip(at, scores, strict=True):
-        before = total - drift * (position - last - 1)
-        total, last = before + score, position
-        new = (position, position, before, total)
+        low = total - drift * (position - last - 1)
+        total, last, first = low + score, position, position
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
+            while j >= 0 and found[j][2] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= total:
+                found.append((first, position, low, total, j))
                 break
-            new = (found[j][0], new[1], found[j][2], new[3])
+            first, _, low, _, lower = found[j]
             del found[j:]
-    return [(a, b, high - low) for a, b, low, high in found]
+            j = lower
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 def _tokens(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, int]:
@@ -175,7 +178,7 @@ _SCAN_SCHEMA = (
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, per_class: int = 20_000, vocabulary: int = 20_000,
+    docs: DataFrame, labels: DataFrame, per_class: int = 20_000,
     prior: float = 10.0, least_z: float = 5.0, least_weight: float = 3.0, drift: float = 0.05, fold: int = 5,
 ) -> ToxicityModel:
     """A model from the labelled rows that are not held out."""
@@ -218,7 +221,7 @@ def fit(
             ((met_toxic - expected) / F.sqrt(expected)).alias("z"),
         )
         .where((F.col("z") >= least_z) & (F.col("weight") >= least_weight))
-        .orderBy(F.desc("z"), "feature").limit(vocabulary).collect()
+        .orderBy("feature").collect()
     )
     order = np.argsort(np.array([r["feature"] for r in weights], np.int64).view(np.uint64))
     keys = np.array([r["feature"] for r in weights], np.int64).view(np.uint64)[order]
@@ -271,13 +274,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(max(beta[0], 1e-6)), float(beta[1])
 
 
-def scored(docs: DataFrame, model: ToxicityModel, fold: int = 5, carry: Sequence[str] = ()) -> DataFrame:
+def scored(
+    docs: DataFrame, model: ToxicityModel, fold: int = 5, carry: Sequence[str] = (), with_text: bool = False
+) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence, the significant passages (token number,
-    length, score), and ``rest`` with the carried columns."""
+    length, score), ``rest`` with the carried columns, and the text if asked for."""
     rest = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("rest")] if carry else []
-    names = ["doc_id", *["rest"] * bool(carry)]
+    names = ["doc_id", *["rest"] * bool(carry), *["text"] * with_text]
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *rest).mapInArrow(
-        _scan(model, names), f"doc_id long{rest_type(docs, carry)}, {_SCAN_SCHEMA}"
+        _scan(model, names), f"doc_id long{rest_type(docs, carry)}{', text string' * with_text}, {_SCAN_SCHEMA}"
     )
     return found.select(
         "doc_id", held_out(fold).alias("held_out"), "score",
