@@ -3,6 +3,11 @@
 Toxic documents go; boilerplate lines stay in one document; of near duplicates the smallest
 doc_id stays; later copies of long passages go; what is left is packed. Each stage works on
 what the one before kept and is written as Parquet before the next reads it.
+
+All columns of documents, whatever their names, are carried to the last stage. Null texts are
+empty to every stage and stay null. Rows that share a doc_id are one document to the
+near-duplicate stage, which keeps one of them; rows without a doc_id are never linked there,
+only equal texts among them fall together. The other stages take each row as it is.
 """
 
 from __future__ import annotations
@@ -28,7 +33,9 @@ def _with_text(found: DataFrame, columns: list[str], changed: Column, text: str)
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model, carry=docs.columns).where("predicted = 0").select("rest.*")
+    others = [c for c in docs.columns if c != "text"]
+    found = toxicity.scored(docs, model, carry=others, with_text=True).where("predicted = 0")
+    return found.select(*(F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +45,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = superminhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    nameless = docs.where("doc_id IS NULL")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(nameless)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = docs.where("doc_id IS NULL").dropDuplicates(["text"])
+    return named.select(*docs.columns).unionByName(nameless)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
