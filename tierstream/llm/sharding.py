@@ -2,9 +2,11 @@
 
 Documents with equal texts are one atom; atoms are ordered by their smallest doc_id. The
 capacity of a shard is found by binary search: a capacity is feasible if filling shards
-greedily, in order, needs no more than there are. An atom larger than an even share gets a
-shard of its own and the atoms on either side are cut by themselves, so that one large
-group of copies does not leave other shards empty.
+greedily, in order, needs no more than there are. Where a single atom alone sets the
+capacity it fills a shard, and the atoms on either side are cut by themselves, each side with
+the shards it needs at least and the others by its size. While a shard is empty, the largest
+one of several atoms is cut in two. So no shard is above the least possible largest size, and
+one large group of copies leaves no other shard empty.
 
 The search runs on sums over ranges of the order, some ten thousand at a time. Taking a
 range of several atoms as divisible gives a lower bound for the capacity, taking it as one
@@ -12,7 +14,8 @@ piece an upper bound. Ranges in which a cut can still fall are cut by further bi
 order number until the two meet, so the result is that of a search over all atoms. Each round is one aggregation over
 (order, bytes) rows, and their number grows with the logarithm of the data.
 
-Null text counts as empty. Null doc_id sorts before all others. Rows with the same doc_id
+Null text counts as empty. Texts found only under a null doc_id sort before all others, by a
+hash of the text (below ids under -2^62, among them). Rows with the same doc_id
 are placed one by one; they share a shard if their texts are equal. An empty table gives
 an empty result. Other columns are ignored.
 """
@@ -102,48 +105,65 @@ def _least(ends: list[int], solid: list[bool], shards: int, low: int) -> int:
     return low
 
 
-def _cuts(atoms: DataFrame, ranges: list[_Range], shards: int) -> list[int]:
-    """The order numbers at which a new shard begins, for the atoms of these ranges."""
+def _pieces(atoms: DataFrame, ranges: list[_Range], shards: int) -> list[list[_Range]]:
+    """The ranges in order, as the contents of at most ``shards`` shards; cut finer where a shard ends."""
+    if shards == 1:
+        return [ranges]
     while True:
         ends = list(accumulate(r.size for r in ranges))
         total, largest = ends[-1], max(r.largest for r in ranges)
-        if shards > 1 and largest * shards > total and len(ranges) > 1:
-            at = next(i for i, r in enumerate(ranges) if r.largest == largest)
-            if not ranges[at].single:
-                ranges = _finer(atoms, ranges, {at})
-                continue
-            return _around(atoms, ranges, at, shards)
         # Single atoms are solid for both bounds, so they meet once no open range is left.
         solid, loose = [True] * len(ranges), [r.single for r in ranges]
         below = _least(ends, loose, shards, max(largest, -(-total // shards)))
         above = _least(ends, solid, shards, below)
         if above == below:
-            firsts = [bisect.bisect_right(ends, b) for b in _reach(ends, solid, above, shards)[:-1] if b < total]
-            return [ranges[k].low for k in dict.fromkeys(firsts)]
+            break
         early, late = _reach(ends, solid, below, shards), _reach(ends, loose, above, shards)
-        ranges = _finer(atoms, ranges, {
-            k for a, b in zip(early, late, strict=True)
+        spans = [sorted(ab) for ab in zip(early, late, strict=True)]
+        near = {
+            k for a, b in spans
             for k in range(bisect.bisect_left(ends, a), min(bisect.bisect_right(ends, b) + 1, len(ranges)))
             if not ranges[k].single
-        })
-
-
-def _around(atoms: DataFrame, ranges: list[_Range], at: int, shards: int) -> list[int]:
-    """An atom above the even share by itself; the sides share the other shards by size."""
-    left, right = sum(r.size for r in ranges[:at]), sum(r.size for r in ranges[at + 1 :])
-    rest = shards - 1
-    if left and right and rest < 2:  # two shards: the atom joins the smaller side
-        return [ranges[at].low] if left >= right else [ranges[at + 1].low]
+        }
+        ranges = _finer(atoms, ranges, near or {k for k, r in enumerate(ranges) if not r.single})
+    # A range with an atom as large as the capacity is that atom alone, or it would not fit.
+    at = next((i for i, r in enumerate(ranges) if r.largest == above), None)
+    if at is not None and above * shards > total and len(ranges) > 1:
+        pieces = _around(atoms, ranges, at, above, shards)
+    else:
+        starts = [bisect.bisect_right(ends, b) for b in [0, *_reach(ends, solid, above, shards)] if b < total]
+        starts = [*dict.fromkeys(starts), len(ranges)]
+        pieces = [ranges[a:b] for a, b in zip(starts, starts[1:], strict=False)]
+    while len(pieces) < shards:
+        several = [i for i, p in enumerate(pieces) if len(p) > 1 or not p[0].single]
+        if not several:
+            break
+        i = max(several, key=lambda i: sum(r.size for r in pieces[i]))
+        pieces[i : i + 1] = _pieces(atoms, pieces[i], 2)
+    return pieces
+
+
+def _needed(ranges: list[_Range], capacity: int) -> int:
+    """How many shards a greedy filling with whole ranges takes."""
+    if not ranges:
+        return 0
+    ends = list(accumulate(r.size for r in ranges))
+    return 1 + sum(b < ends[-1] for b in _reach(ends, [True] * len(ends), capacity, len(ends)))
+
+
+def _around(atoms: DataFrame, ranges: list[_Range], at: int, capacity: int, shards: int) -> list[list[_Range]]:
+    """An atom that fills a shard; the sides share the other shards by size, as far as they fit."""
+    sides, rest = (ranges[:at], ranges[at + 1 :]), shards - 1
+    left, right = (sum(r.size for r in side) for side in sides)
     if left and right:
-        for_left = min(range(1, rest), key=lambda n: (max(left / n, right / (rest - n)), n))
+        possible = range(_needed(sides[0], capacity), rest - _needed(sides[1], capacity) + 1)
+        for_left = min(possible, key=lambda n: (max(left / n, right / (rest - n)), n))
     else:
         for_left = rest if left else 0
-    cuts = []
-    if left:
-        cuts += [*_cuts(atoms, ranges[:at], for_left), ranges[at].low]
-    if right:
-        cuts += [ranges[at + 1].low, *_cuts(atoms, ranges[at + 1 :], rest - for_left)]
-    return cuts
+    return [
+        *(_pieces(atoms, sides[0], for_left) if left else []), [ranges[at]],
+        *(_pieces(atoms, sides[1], rest - for_left) if right else []),
+    ]
 
 
 def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
@@ -157,8 +177,10 @@ def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
         F.unhex(F.sha2(text, 256)).alias("digest"),
     )
     groups = rows.groupBy("digest").agg(
-        F.coalesce(F.min("doc_id"), F.lit(_LOWEST)).alias("first"), F.sum("size").alias("bytes")
+        F.min("doc_id").alias("first"), F.sum("size").alias("bytes")
     )
+    hashed = F.lit(_LOWEST) + F.xxhash64("digest").bitwiseAND(F.lit((1 << 62) - 1))
+    groups = groups.withColumn("first", F.coalesce("first", hashed))
     folder = working_folder(spark, "sharding")
     groups.write.parquet(f"{folder}/groups")
     groups = spark.read.parquet(f"{folder}/groups")
@@ -170,7 +192,7 @@ def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
     if ends[0] is not None:
         shift = max(0, (ends[1] - ends[0]).bit_length() - 11)
         ranges = sorted(_sums(atoms, shift, _block(shift)), key=lambda r: r.low)
-        cuts = _cuts(atoms, ranges, shards)
+        cuts = [piece[0].low for piece in _pieces(atoms, ranges, shards)[1:]]
     shard = sum((F.when(F.col("first") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
     part = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(4 * parts(spark)))
     placed = (
