@@ -11,10 +11,9 @@ Likeness of two fingerprints: among the subsets that are not blank in both, the
 which they agree. A subset agrees if no term in it was added or lost, so for small subsets
 this follows the share of terms in common.
 
-A text with fewer than 8 lexicon terms, or with fewer than one in 8 of its terms in the
-lexicon, is fingerprinted by all its terms: a group of copies or a template in more documents
-than the band allows has no terms in the lexicon. If one of two texts is such a text, all
-terms of both are compared, whatever the other's own fingerprint is made of.
+The band reaches up to half of all documents, so the terms of a group of copies, or of a
+template, that holds a third of the rows are still in the lexicon. A text without any lexicon
+term is fingerprinted by all its terms.
 
 A text without terms is fingerprinted by the text itself; an empty one is blank
 everywhere. Null text is empty. Null doc_id comes last in the order from the largest
@@ -33,8 +32,6 @@ from tierstream.llm.frames import parts
 _BITS = 1 << 20
 _BLANK = -1
 _SENTINELS = [*(f"{i:02X}!" for i in range(128)), *(f"G{i:X}!" for i in range(16))]
-_FINE_BINS = 1 << 16
-_FEW = 8  # lexicon terms, and one in so many of a text's terms
 
 
 def term_hashes(text: Column) -> Column:
@@ -72,17 +69,12 @@ def _own_terms(text: Column) -> Column:
 
 
 def fingerprint(text: Column, bits: str) -> Column:
-    """``marks``, and whether they are ``whole``: of all terms, as few are in the lexicon."""
+    """The marks of a text's lexicon terms; of all its terms where none is in the lexicon."""
     words = F.split(F.lit(bits), ",").cast("array<bigint>")  # constant: evaluated once, in planning
     word = lambda t: F.get(words, F.floor(F.pmod(t, F.lit(_BITS)) / 64).cast("int"))
     known = lambda t: F.getbit(word(t), F.pmod(F.pmod(t, F.lit(_BITS)), F.lit(64)).cast("int")) == 1
-
-    def chosen(own: Column, found: Column) -> Column:
-        whole = (F.size(found) < _FEW) | (F.size(found) * _FEW < F.size(own))
-        return F.struct(F.when(whole, own).otherwise(found).alias("terms"), whole.alias("whole"))
-
-    terms = _let(_own_terms(text), lambda own: _let(F.filter(own, known), lambda found: chosen(own, found)))
-    return _let(terms, lambda t: F.struct(marks(t["terms"]).alias("marks"), t["whole"].alias("whole")))
+    chosen = lambda own: _let(F.filter(own, known), lambda found: F.when(F.size(found) == 0, own).otherwise(found))
+    return marks(_let(_own_terms(text), chosen))
 
 
 def marks(terms: Column) -> Column:
@@ -119,13 +111,6 @@ def likeness(one: Column, other: Column) -> Column:
     return _let(total, share)
 
 
-def alike(one: str, other: str, texts: dict[str, Column]) -> Column:
-    """Likeness of two texts by their fingerprint columns, over the same kind of terms."""
-    whole = F.col(f"{one}.whole") | F.col(f"{other}.whole")
-    over = lambda c: F.when(whole & ~F.col(f"{c}.whole"), marks(_own_terms(texts[c]))).otherwise(F.col(f"{c}.marks"))
-    return likeness(over(one), over(other))
-
-
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Each row with ``next``, a struct of the columns of the row with the next smaller
     doc_id; after the smallest comes the largest.
@@ -134,27 +119,20 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     gets the first row of the range below, so no task sees more than one range.
     """
     spark = rows.sparkSession
-    ends = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high, n = ends[0] or 0, ends[1] or 0, ends[2]
-    width = -(-(high - low + 1) // _FINE_BINS)
-    bin_ = F.coalesce(F.expr(f"CAST((CAST(doc_id AS DECIMAL(20,0)) - ({low})) DIV {width} AS INT)"), F.lit(0))
-    binned = rows.withColumn("bin", bin_)
-    counts = sorted(tuple(r) for r in binned.groupBy("bin").agg(F.count("*"), F.max("doc_id")).collect())
-    target = max(1, n // (4 * parts(spark)))
-    ranges, firsts, total = [], {}, 0
-    for b, size, largest in counts:
-        at = total // target
-        ranges.append((b, at))
-        firsts[at] = largest
-        total += size
+    n = 4 * parts(spark)
+    shares = [i / n for i in range(1, n)]
+    borders = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n))).first()[0] or []
+    texts = F.split(F.lit(",".join(str(b) for b in sorted(set(borders)))), ",")  # constant, n - 1 numbers
+    below = F.size(F.filter(texts.cast("array<bigint>"), lambda b: b <= F.col("doc_id")))
+    ranged = rows.withColumn("range", below if borders else F.lit(0))
+    firsts = {r["range"]: r["first"] for r in ranged.groupBy("range").agg(F.max("doc_id").alias("first")).collect()}
     order = sorted(firsts)
     # The row that opens a range also closes the range above it.
     closing = [(firsts[at], order[i + 1]) for i, at in enumerate(order[:-1])]
     if order:
         closing.append((firsts[order[-1]], order[0]))
-    to_range = spark.createDataFrame(ranges, "bin int, range int")  # at most _FINE_BINS rows
     extra = spark.createDataFrame(closing, "closing long, range int")  # one per range
-    own = binned.join(F.broadcast(to_range), "bin").select(*rows.columns, "range", F.lit(False).alias("extra"))
+    own = ranged.withColumn("extra", F.lit(False))
     copies = rows.join(F.broadcast(extra), F.col("doc_id").eqNullSafe(F.col("closing")))
     copies = copies.select(*rows.columns, "range", F.lit(True).alias("extra"))
     window = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("doc_id"), "text")
@@ -162,7 +140,7 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     return own.unionByName(copies).withColumn("next", following).where(~F.col("extra")).drop("range", "extra")
 
 
-def edited_fingerprints(docs: DataFrame, least: float = 1 / 500, most: float = 0.1) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, least: float = 1 / 500, most: float = 0.5) -> DataFrame:
     """Each document's fingerprint and that of an edited text.
 
     The edited text is the document with its second half (code points, rounded down)
@@ -177,15 +155,13 @@ def edited_fingerprints(docs: DataFrame, least: float = 1 / 500, most: float = 0
         F.substring("text", F.lit(1), F.char_length("text") - half), F.substring(F.col("next.text"), F.lit(1), half)
     )
     pairs = with_next(own, ["text", "print"]).select(
-        "doc_id", "text", F.col("next.text").alias("next_text"), edited.alias("edited"),
-        "print", F.col("next.print").alias("next_print"),
+        "doc_id", "text", edited.alias("edited"), "print", F.col("next.print").alias("next_print")
     )
     done = pairs.withColumn("edited_print", fingerprint(F.col("edited"), bits))
-    texts_of = {"print": F.col("text"), "next_print": F.col("next_text"), "edited_print": F.col("edited")}
-    written = lambda c: F.array_join(F.col(f"{c}.marks").cast("array<string>"), " ")
+    written = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
     return done.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         written("print").alias("fingerprint"), written("edited_print").alias("edited_fingerprint"),
-        alike("print", "edited_print", texts_of).alias("near_edited"),
-        alike("print", "next_print", texts_of).alias("near_next"),
+        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        likeness(F.col("print"), F.col("next_print")).alias("near_next"),
     )
