@@ -95,6 +95,25 @@ def test_line_store_is_reversible(spark, docs, tmp_path):
     assert {i: r["kept"] for i, r in by_id(store.clean(docs.where("doc_id <> 12"))).items()} == kept_lines(left)
 
 
+def test_line_store_is_opened_again(raw_spark, docs, tmp_path):
+    folder, rows = str(tmp_path / "store"), rows_of_text()
+    store = lines.LineStore(raw_spark, folder, 3, 3)
+    store.insert(docs.where("doc_id < 13"))
+    # A change that ended between its two tables leaves the version before in force.
+    raw_spark.createDataFrame([(0, 0, 0, bytearray(b"half"))], lines.KEY_LISTS).write.parquet(f"{folder}/references/2")
+    store = lines.LineStore(raw_spark, folder, 3, 3)
+    assert store.version == 1
+    store.insert(docs.where("doc_id < 13"))  # held already: nothing counts twice
+    two = raw_spark.createDataFrame([r for r in rows if r[0] in (11, 12)], "doc_id long, text string")
+    assert [r["n_dropped"] for r in store.clean(two).collect()] == [0, 0]
+    store.insert(docs)
+    again = lines.LineStore(raw_spark, folder, 3, 3)
+    assert again.version == 3
+    assert {i: r["kept"] for i, r in by_id(again.clean(docs)).items()} == kept_lines(rows)
+    with pytest.raises(ValueError):
+        lines.LineStore(raw_spark, folder, 4, 3)
+
+
 def test_cuckoo_filter():
     keys = np.random.default_rng(1).integers(0, 2**63, 20_000).astype(np.uint64)
     made = CuckooFilter.from_bytes(CuckooFilter.of(keys[:10_000]).to_bytes())
@@ -231,6 +250,51 @@ def test_sharding(docs):
     assert all(r["text_crc32"] == zlib.crc32((rows[r["doc_id"]][1] or "").encode()) for r in got)
 
 
+@pytest.mark.parametrize("sizes, shards", [
+    ([50, 45, 45, 5, 100, 5], 3), ([10, 20, 20, 20, 20, 20], 4), ([3, 400, 2, 2, 2, 2, 2, 2], 6), ([7, 300], 2),
+    ([*range(2, 40), 900, *range(2, 30)], 8), ([5, 60, 5, 60, 60, 4], 5), ([9, 9], 4),
+])
+def test_sharding_with_large_atoms(raw_spark, sizes, shards):
+    """Against all ways to cut; an atom above the even share leaves no shard empty."""
+    rows = [(1000 * i + 7, chr(33 + i) * (s - 1)) for i, s in enumerate(sizes)]
+    got = sharding.sharded(raw_spark.createDataFrame(rows, "doc_id long, text string"), shards).collect()
+    least = [math.inf] * len(sizes) + [0]  # of the atoms from i on, with the shards of the round
+    for _ in range(shards):
+        least = [
+            min(max(sum(sizes[i:j]), least[j]) for j in range(i + 1, len(sizes) + 1)) for i in range(len(sizes))
+        ] + [0]
+    filled = collections.Counter()
+    for r in got:
+        filled[r["shard"]] += r["size"]
+    assert max(filled.values()) == least[0] and len(filled) == min(shards, len(sizes))
+    order = [r["shard"] for r in sorted(got, key=lambda r: r["doc_id"])]
+    assert order == sorted(order)
+
+
+def test_sharding_without_ids(raw_spark):
+    """Texts without a doc_id are atoms of their own."""
+    rows = [(None, f"{i:03}" * 40) for i in range(60)] * 2 + [(5, "a")]
+    got = sharding.sharded(raw_spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    filled, of = collections.Counter(), collections.defaultdict(set)
+    for r in got:
+        filled[r["shard"]] += r["size"]
+        of[r["text_crc32"]].add(r["shard"])
+    assert len(got) == 121 and max(filled.values()) <= 15 * 242 + 2 and all(len(s) == 1 for s in of.values())
+
+
+def test_likeness_is_that_of_the_fingerprints(raw_spark):
+    documents = raw_spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = sorted(imatch.edited_fingerprints(documents).collect(), key=lambda r: -r["doc_id"])
+
+    def likeness(one, other):
+        pairs = [(a, b) for a, b in zip(one.split(), other.split(), strict=True) if (a, b) != ("-1", "-1")]
+        return sum(a == b for a, b in pairs) / len(pairs) if pairs else 1.0
+
+    for r, following in zip(got, got[1:] + got[:1], strict=True):
+        assert math.isclose(r["near_edited"], likeness(r["fingerprint"], r["edited_fingerprint"]))
+        assert math.isclose(r["near_next"], likeness(r["fingerprint"], following["fingerprint"]))
+
+
 def test_edited_fingerprints(docs):
     rows = [(i, t or "") for i, t in rows_of_text()][::-1]
     got = by_id(imatch.edited_fingerprints(docs))

@@ -19,6 +19,7 @@ same doc_id are one document. Other columns are ignored, or carried along if nam
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import numpy as np
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tierstream.llm import blocks as B
 from tierstream.llm.cuckoo import CuckooFilter
 from tierstream.llm.frames import KEY_LISTS, lists, parts, received, rest_type, segmented
+from tierstream.sources.files import children, exists, read_text, write_text
 
 _NEWLINE = 0x0A
 _SIGN = np.uint64(1 << 63)  # turns the order of signed ids into that of unsigned ones
@@ -181,29 +183,46 @@ class LineStore:
     """References and filters of a growing and shrinking set of documents, in a folder.
 
     ``references/<n>``: per segment and shard, (key, document) pairs; ``filters/<n>``: one
-    cuckoo filter per shard. Each change writes a new version <n> beside the old one;
-    ``version`` is the one in force. The folder must be one that all executors share.
+    cuckoo filter per shard. Each change writes a new version <n> beside the old one, the
+    filters last; ``version`` is the newest one whose filters were finished, also for a store
+    opened again, and what an interrupted change left behind is written over. The folder must be
+    one that all executors share, with one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, folder: str, segments: int, buckets: int, min_chars: int = 20):
-        self.spark, self.folder, self.version = spark, folder, 0
+        self.spark, self.folder = spark, folder
         self.segments, self.buckets, self.min_chars = segments, buckets, min_chars
-        self._write(spark.createDataFrame([], KEY_LISTS), "references")
-        self._write(spark.createDataFrame([], KEY_LISTS), "filters")
-
-    def _write(self, frame: DataFrame, table: str) -> None:
-        frame.write.parquet(f"{self.folder}/{table}/{self.version}")
-
-    def _read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(KEY_LISTS).parquet(f"{self.folder}/{table}/{self.version}")
+        finished = [
+            int(n) for n in children(spark, f"{folder}/filters") if exists(spark, f"{folder}/filters/{n}/_SUCCESS")
+        ]
+        shape = {"segments": segments, "buckets": buckets, "min_chars": min_chars}
+        if finished:
+            self.version = max(finished)
+            before = json.loads(read_text(spark, f"{folder}/shape.json"))
+            if before != shape:
+                raise ValueError(f"the store in {folder} was made with {before}")
+            return
+        self.version = 0
+        write_text(spark, f"{folder}/shape.json", json.dumps(shape))
+        self._write(spark.createDataFrame([], KEY_LISTS), "references", 0)
+        self._write(spark.createDataFrame([], KEY_LISTS), "filters", 0)
+
+    def _write(self, frame: DataFrame, table: str, version: int) -> None:
+        frame.write.mode("overwrite").parquet(f"{self.folder}/{table}/{version}")
+
+    def _read(self, table: str, version: int | None = None) -> DataFrame:
+        version = self.version if version is None else version
+        return self.spark.read.schema(KEY_LISTS).parquet(f"{self.folder}/{table}/{version}")
 
     def insert(self, docs: DataFrame) -> None:
-        """Add documents whose ids the store does not hold yet."""
+        """Add documents; those whose ids the store holds references of already are left as they are."""
         dealt = segmented(docs, segments=self.segments)
         added = dealt.groupBy("segment").applyInArrow(
             _references(self.min_chars, self.buckets, by_document=True), KEY_LISTS
         )
-        self._replace(self._read("references").unionByName(added))
+        stored = self._read("references")
+        new = added.groupBy("segment").cogroup(stored.groupBy("segment")).applyInArrow(_only_new, KEY_LISTS)
+        self._replace(stored.unionByName(new))
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Take documents out; ``doc_ids`` has a column doc_id."""
@@ -212,11 +231,11 @@ class LineStore:
         self._replace(left.applyInArrow(_without, KEY_LISTS))
 
     def _replace(self, references: DataFrame) -> None:
-        before = self._read("filters")
-        self.version += 1
-        self._write(references, "references")
-        now = self._read("references").groupBy("bucket")
-        self._write(now.cogroup(before.groupBy("bucket")).applyInArrow(_filters, KEY_LISTS), "filters")
+        new, before = self.version + 1, self._read("filters")
+        self._write(references, "references", new)
+        now = self._read("references", new).groupBy("bucket")
+        self._write(now.cogroup(before.groupBy("bucket")).applyInArrow(_filters, KEY_LISTS), "filters", new)
+        self.version = new
 
     def unseen(self, docs: DataFrame) -> DataFrame:
         """doc_id and how many of its counted lines are certainly in no stored document."""
@@ -249,8 +268,17 @@ def _summed(table: pa.Table) -> pa.Table:
     return lists([(bucket, segment, 0, B.dump(*_counted(*_pairs(table))))])
 
 
+def _only_new(added: pa.Table, stored: pa.Table) -> pa.Table:
+    held = [np.unique(B.load(x)[2]) for x in stored["keys"].to_pylist()]
+    return _less(added, np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64))
+
+
 def _without(table: pa.Table, gone: pa.Table) -> pa.Table:
-    leaving = np.sort(B.ids(gone["doc_id"]).view(np.uint64) ^ _SIGN)
+    return _less(table, np.sort(B.ids(gone["doc_id"]).view(np.uint64) ^ _SIGN))
+
+
+def _less(table: pa.Table, leaving: np.ndarray) -> pa.Table:
+    """The lists without the references of these documents."""
     rows = []
     for row in table.to_pylist():
         columns = B.load(row["keys"])
@@ -268,7 +296,7 @@ def _filters(references: pa.Table, before: pa.Table) -> pa.Table:
     bucket = (references if references.num_rows else before)["bucket"][0].as_py()
     keys = np.unique(_pairs(references)[0]) if references.num_rows else np.zeros(0, np.uint64)
     old = {r["kind"]: r["keys"] for r in before.to_pylist()}
-    if 3 not in old:  # none yet, or one of kind 1 with fingerprints of unmixed hashes
+    if not old:
         made = CuckooFilter.of(keys, 2 * len(keys))
     else:
         made, had = CuckooFilter.from_bytes(old[3]), B.load(old[2])[0]
@@ -283,10 +311,7 @@ def _probe(asked: pa.Table, stored: pa.Table) -> pa.Table:
         return pa.table({"doc_id": pa.array([], pa.int64()), "n_new": pa.array([], pa.int64())})
     keys, _, holder = _pairs(asked)
     blobs = {r["kind"]: r["keys"] for r in stored.to_pylist()}
-    if 3 in blobs:
-        known = CuckooFilter.from_bytes(blobs[3]).contains(keys)
-    else:
-        known = B.member(keys, B.load(blobs[2])[0]) if blobs else np.zeros(len(keys), bool)
+    known = CuckooFilter.from_bytes(blobs[3]).contains(keys) if blobs else np.zeros(len(keys), bool)
     ids, at = np.unique(holder, return_inverse=True)
     return pa.table({
         "doc_id": pa.array((ids ^ _SIGN).view(np.int64), pa.int64()),
