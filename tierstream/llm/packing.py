@@ -125,9 +125,9 @@ def packed(
     ).write.parquet(folder)
     pieces = spark.read.parquet(folder)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = spark.createDataFrame(
-        best_fit_plan(counts, capacity), "length long, first long, n long, sequence long, offset long"
-    )
+    slots = np.array(best_fit_plan(counts, capacity), np.int64).reshape(-1, 5)
+    names = ["length", "first", "n", "sequence", "offset"]
+    plan = spark.createDataFrame(pa.table(list(slots.T), names))  # from Arrow: without further Python workers
     placed = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(4 * parts(spark))))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
