@@ -220,4 +220,21 @@ ORACLES: dict[str, str] = {
                CAST(sum(quantity) AS BIGINT) AS total_books
         FROM shop_order JOIN customers USING (customer_id)
         GROUP BY ALL""",
+    "catalog_pipeline": f"""
+        WITH {_ORDER}, {_CUSTOMER}
+        SELECT country, date_trunc('day', order_timestamp) AS order_date, count(*) AS orders_count,
+               CAST(sum(quantity) AS BIGINT) AS total_books
+        FROM shop_order JOIN customers USING (customer_id)
+        GROUP BY ALL""",
+    "catalog_tables": f"""
+        WITH {_ORDER}, {_CUSTOMER}, joined AS (
+            SELECT country, date_trunc('day', order_timestamp) AS order_date
+            FROM shop_order JOIN customers USING (customer_id))
+        SELECT layer, name, 'MANAGED' AS kind, CAST(0 AS BIGINT) AS row_count
+        FROM (VALUES ('bronze', 'books'), ('bronze', 'customers'), ('bronze', 'orders'), ('silver', 'silver_books'),
+            ('silver', 'silver_customers'), ('silver', 'silver_orders'), ('silver', 'silver_books_orders'),
+            ('gold', 'gold_authors_stats')) AS empty(layer, name)
+        UNION ALL SELECT 'bronze', 'country_lookup', 'MANAGED', count(*) FROM nation
+        UNION ALL SELECT 'silver', 'silver_customers_orders', 'MANAGED', count(*) FROM joined
+        UNION ALL SELECT 'gold', 'countries_stats_vw', 'VIEW', count(*) FROM (SELECT DISTINCT * FROM joined)""",
 }

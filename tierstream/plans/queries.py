@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,9 @@ from tierstream.plans.lake import Lake
 from tierstream.session import pipeline_session, working_folder
 from tierstream.sources import lookup
 from tierstream.sources.topics import folder_topic, publish
-from tierstream.streaming.run import DRAIN, append_to_folder, drain
+from tierstream.streaming import catalog
+from tierstream.streaming.catalog import Namespace
+from tierstream.streaming.run import DRAIN, append_to_folder, append_to_table, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -490,3 +494,52 @@ def countries_stats(spark: SparkSession, folder: str) -> DataFrame:
     customers = add_country(shop.customers(spark, folder, "insert", "2024-01-01"), shop.countries(spark, folder))
     joined = changes_with_orders(customers, shop.orders(spark, folder).select(*shop.ORDER_FIELDS))
     return stats.countries_stats(joined)
+
+
+# --- catalog -----------------------------------------------------------------
+
+
+def _set_up_catalog(spark: SparkSession, folder: str) -> dict[str, Namespace]:
+    """The three layers as databases under names of their own: the lookup loaded, customers'
+    orders streamed into their table, and the statistics as a persistent view."""
+    root, run, before = working_folder(spark, "catalog"), uuid.uuid4().hex, spark.catalog.currentDatabase()
+    layers = {}
+    for layer, specs in (("bronze", catalog.BRONZE), ("silver", catalog.SILVER), ("gold", catalog.GOLD)):
+        layers[layer] = Namespace(f"{layer}_{run}")
+        catalog.set_up_layer(spark, layers[layer], f"{root}/{layer}", specs, table_format="parquet")
+    spark.catalog.setCurrentDatabase(before)
+
+    lookup_table = layers["bronze"].table("country_lookup")
+    shop.countries(spark, folder).select("calling_code", "code", "country").write.insertInto(lookup_table)
+    customers = add_country(shop.customers(spark, folder, "insert", "2024-01-01"), spark.table(lookup_table))
+    orders = price_to_number(shop.orders(spark, folder).select(*shop.ORDER_FIELDS), "total")
+    joined = changes_with_orders(customers, orders)
+    target = layers["silver"].table("silver_customers_orders")
+    columns = [
+        F.col(f.name).cast(f.dataType) for f in spark.table(target).schema
+        if f.name in joined.columns and f.name != "books"  # order lines stay out, the statistics need none
+    ]
+    joined.select(*columns).write.parquet(f"{root}/joined")
+    arriving = spark.readStream.schema(schemas.CUSTOMERS_ORDERS).parquet(f"{root}/joined")
+    drain(append_to_table(arriving, target, f"{root}/joined_cp", "catalog_orders", DRAIN))
+    catalog.create_countries_view(spark, layers["gold"], layers["silver"])
+    return layers
+
+
+@query
+def catalog_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics read from the view of a catalog that was set up and filled by a stream."""
+    return spark.table(_set_up_catalog(spark, folder)["gold"].table("countries_stats_vw"))
+
+
+@query
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """What the catalog lists for each layer, and the rows in it."""
+    found = [
+        spark.table(space.table(t.name)).agg(F.count("*").alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(t.name).alias("name"), F.lit(t.tableType).alias("kind"), "row_count"
+        )
+        for layer, space in _set_up_catalog(spark, folder).items()
+        for t in spark.catalog.listTables(str(space)) if not t.isTemporary
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
