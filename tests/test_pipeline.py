@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import day, rows
 from tierstream import schemas
 from tierstream.operators.dedup import first_arrivals
-from tierstream.operators.joins import changes_with_orders
+from tierstream.operators.joins import changes_with_orders, heavy_keys
 from tierstream.plans import gold, silver
 from tierstream.plans.bronze import ingest_topic
 from tierstream.plans.lake import Lake
@@ -271,6 +271,54 @@ def test_bounded_dedup(spark, tmp_path):
     assert rows(spark.read.parquet(out), "key") == [("a",), ("b",)]
 
 
+def state_rows(spark, checkpoint):
+    return sum(
+        spark.read.format("statestore").option("operatorId", n).load(checkpoint).count() for n in (0, 1)
+    )
+
+
+def test_order_dedup_forgets(spark, lake):
+    """Each day's orders come twice; the state holds the last day's keys, not all of them."""
+    held = []
+    for at in range(1, 5):
+        orders = [order(f"{at}-{i}") for i in range(at == 1 and 40 or 5)]
+        texts = spark.createDataFrame([(json.dumps(o),) for o in [*orders, *orders]], "value STRING").coalesce(1)
+        sent = topics.to_envelope(texts, "order_id", "orders").withColumn("timestamp", F.lit(day(at)))
+        sent.write.mode("append").parquet(lake.path("bronze", "orders"))
+        drain(silver.silver_orders(lake, DRAIN, forget_after="1 hour"))
+        held.append(state_rows(spark, lake.checkpoint("silver", "silver_orders")))
+    assert lake.orders.read().count() == 55
+    assert held[0] >= 40 and max(held[2:]) < 40
+
+
+def test_only_hot_customers_are_dealt_out(spark):
+    orders = spark.range(3000).select(
+        F.col("id").cast("string").alias("order_id"), F.current_timestamp().alias("order_timestamp"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("customer_id"),
+    )
+    assert heavy_keys(orders, "customer_id") == ["hot"]
+    assert heavy_keys(orders.limit(0), "customer_id") == []
+    changes = orders.select("customer_id").distinct().withColumn("row_time", F.current_timestamp())
+    got = changes_with_orders(changes, orders, 16, hot=["hot"])
+    assert got.count() == 3000 and got.select("order_id").distinct().count() == 3000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "hot" in plan
+    assert changes_with_orders(changes, orders, 16, hot=[]).count() == 3000
+
+
+def test_hot_customers_are_kept_with_the_checkpoint(spark, lake):
+    checkpoint = lake.checkpoint("silver", "some_join")
+    send(lake, "orders", *[order(f"o{i}") for i in range(20)])
+    drain(silver.silver_orders(lake, DRAIN))
+    assert silver.kept_hot_customers(lake, checkpoint, settled=10) == ["c1"]
+    send(lake, "orders", *[order(f"p{i}", customer="c2") for i in range(20)])
+    drain(silver.silver_orders(lake, DRAIN))
+    assert silver.kept_hot_customers(lake, checkpoint, settled=10) == ["c1"]
+    assert silver.kept_hot_customers(lake, checkpoint + "_too_early", settled=1000) is None
+    (spark.range(1).write.parquet(checkpoint + "_older"))
+    assert silver.kept_hot_customers(lake, checkpoint + "_older", settled=10) is None
+
+
 @pytest.mark.parametrize("salts", [1, 5])
 def test_salted_join_equals_a_plain_one(spark, salts):
     changes = spark.createDataFrame([("c1", "x", day(1)), ("c1", "y", day(9)), ("c2", "z", day(1))], "customer_id STRING, city STRING, row_time TIMESTAMP")

@@ -116,6 +116,7 @@ ORACLES: dict[str, str] = {
         SELECT event_id, user_id, event_type, date_trunc('day', ts) AS day FROM events
         QUALIFY rank() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC) = 1""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_dedup_bounded": "SELECT event_id, ts FROM events",
     "order_dedup_pipeline": f"""
         WITH {_ORDER}
         SELECT order_id, order_timestamp, customer_id, quantity, cents / 100.0 AS total FROM shop_order

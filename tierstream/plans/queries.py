@@ -21,7 +21,7 @@ from tierstream.plans import gold, shop, silver
 from tierstream.plans.bronze import ingest_topic
 from tierstream.plans.lake import Lake
 from tierstream.session import pipeline_session, working_folder
-from tierstream.sources import lookup
+from tierstream.sources import files, lookup
 from tierstream.sources.topics import folder_topic, publish
 from tierstream.streaming import catalog
 from tierstream.streaming.catalog import Namespace
@@ -225,6 +225,25 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).select("user_id", "event_type")
 
 
+@query
+def stream_dedup_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Events sent twice, a third of their time span per run, through a dedup that forgets after a day."""
+    lake = new_lake(spark, "stream_dedup_bounded")
+    events = shop.table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    inbox, out = lake.path("inbox", "events"), lake.path("out", "events")
+    copies = events.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    borders = [first + (last - first) * i / 3 for i in (1, 2)] if first else []
+    part_of = sum((F.lit(border) < F.col("ts")).cast("int") for border in borders)
+    files.make_folder(spark, out)
+    for part in range(3 if first else 0):
+        copies.filter(part_of == part).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema("event_id BIGINT, ts TIMESTAMP, copy INT").parquet(inbox)
+        once = first_arrivals(stream.withWatermark("ts", "1 day"), ["event_id"], silver.SPREAD, ["copy"], True)
+        drain(append_to_folder(once, out, lake.checkpoint("out", "events"), "stream_dedup_bounded", DRAIN))
+    return spark.read.schema("event_id BIGINT, ts TIMESTAMP").parquet(out).select("event_id", "ts")
+
+
 @query
 def order_dedup_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Order messages with copies and every kind of dirt through the cleaning stream."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,17 +14,21 @@ from tierstream import schemas
 from tierstream.operators.clean import keep_usable_keys, parse_payload, price_to_number
 from tierstream.operators.dedup import drop_known_rows, first_arrivals, rows_and_days, rows_not_in
 from tierstream.operators.history import with_merge_keys
-from tierstream.operators.joins import add_country, changes_with_orders, lines_with_books
+from tierstream.operators.joins import add_country, changes_with_orders, heavy_keys, lines_with_books
 from tierstream.operators.latest import newest_per_key, newest_with_ties
 from tierstream.operators.merge import BOOK_HISTORY, CUSTOMER_ORDER_STATE, CUSTOMER_STATE
 from tierstream.operators.orders import clean_subtotals, explode_lines
 from tierstream.plans.lake import Lake
+from tierstream.sources import files
 from tierstream.streaming.metrics import record
 from tierstream.streaming.run import BatchHandler, Trigger, for_each_batch
 
 # Tells copies of a message apart, to spread them before the dedup.
 _POSITION = ["partition", "offset"]
 
+# What the cleaning of a topic carries along with the payload, to the end of the dedup.
+_ENVELOPE = (*_POSITION, "timestamp")
+
 # Slices per key in the arrival dedup; 1 halves the state but lets a hot key sit in one task.
 SPREAD = 4
 
@@ -40,17 +47,24 @@ def as_schema(rows: DataFrame, schema: str) -> DataFrame:
 # --- books -------------------------------------------------------------------
 
 
-def clean_books(messages: DataFrame, spread: int = SPREAD) -> DataFrame:
+def first_messages(rows: DataFrame, keys: list[str], spread: int, forget_after: str | None) -> DataFrame:
+    """First message per key: of all time, or if ``forget_after`` is given, of at least that
+    long. The state then holds the keys of that span only; a copy that arrives later passes
+    as new. Time is the message's own time in its topic."""
+    if forget_after:
+        rows = rows.withWatermark("timestamp", forget_after)
+    return first_arrivals(rows, keys, spread, _POSITION, forget_after is not None).drop(*_ENVELOPE)
+
+
+def clean_books(messages: DataFrame, spread: int = SPREAD, forget_after: str | None = None) -> DataFrame:
     """Book messages to typed versions, one per book and update time.
 
     The dedup comes before the price check: a first copy that fails it has used up its key.
     Unusable keys go before the dedup: they could only use up themselves, and messages
     without a key would all meet in one task and one state entry.
     """
-    versions = parse_payload(messages, schemas.BOOK_MESSAGE, keep=tuple(_POSITION))
-    versions = keep_usable_keys(versions, "book_id")
-    versions = first_arrivals(versions, ["book_id", "updated"], spread, _POSITION).drop(*_POSITION)
-    return price_to_number(versions, "price")
+    versions = keep_usable_keys(parse_payload(messages, schemas.BOOK_MESSAGE, keep=_ENVELOPE), "book_id")
+    return price_to_number(first_messages(versions, ["book_id", "updated"], spread, forget_after), "price")
 
 
 def upsert_books(lake: Lake, name: str) -> BatchHandler:
@@ -72,8 +86,10 @@ def upsert_books(lake: Lake, name: str) -> BatchHandler:
     return handle
 
 
-def silver_books(lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_books") -> StreamingQuery:
-    rows = clean_books(lake.topic("books"))
+def silver_books(
+    lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_books", forget_after: str | None = None
+) -> StreamingQuery:
+    rows = clean_books(lake.topic("books"), forget_after=forget_after)
     return for_each_batch(rows, upsert_books(lake, name), lake.checkpoint("silver", "silver_books"), name, trigger)
 
 
@@ -111,11 +127,11 @@ def silver_customers(lake: Lake, trigger: Trigger = Trigger(), name: str = "silv
 # --- orders ------------------------------------------------------------------
 
 
-def clean_orders(messages: DataFrame, spread: int = SPREAD) -> DataFrame:
+def clean_orders(messages: DataFrame, spread: int = SPREAD, forget_after: str | None = None) -> DataFrame:
     """Order messages to typed orders, one per order and time; as for books, dedup first."""
-    orders = parse_payload(messages, schemas.ORDER_MESSAGE, keep=tuple(_POSITION)).filter("quantity > 0")
+    orders = parse_payload(messages, schemas.ORDER_MESSAGE, keep=_ENVELOPE).filter("quantity > 0")
     orders = keep_usable_keys(orders, "order_id")
-    orders = first_arrivals(orders, ["order_id", "order_timestamp"], spread, _POSITION).drop(*_POSITION)
+    orders = first_messages(orders, ["order_id", "order_timestamp"], spread, forget_after)
     return price_to_number(keep_usable_keys(orders, "customer_id"), "total")
 
 
@@ -133,8 +149,10 @@ def insert_orders(lake: Lake, name: str) -> BatchHandler:
     return handle
 
 
-def silver_orders(lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_orders") -> StreamingQuery:
-    rows = clean_orders(lake.topic("orders"))
+def silver_orders(
+    lake: Lake, trigger: Trigger = Trigger(), name: str = "silver_orders", forget_after: str | None = None
+) -> StreamingQuery:
+    rows = clean_orders(lake.topic("orders"), forget_after=forget_after)
     return for_each_batch(rows, insert_orders(lake, name), lake.checkpoint("silver", "silver_orders"), name, trigger)
 
 
@@ -184,11 +202,30 @@ def customers_orders_stream(
     orders_watermark: str = "40 seconds",
     salts: int = 8,
     within: str | None = None,
+    hot: list[str] | None = None,
 ) -> DataFrame:
     """Customer changes joined with orders, both as streams."""
     changes = lake.customers.changes.stream(**lake.pace).withWatermark("row_time", customers_watermark)
     orders = lake.orders.stream(**lake.pace).withWatermark("order_timestamp", orders_watermark)
-    return changes_with_orders(changes, orders, salts, within)
+    return changes_with_orders(changes, orders, salts, within, hot)
+
+
+def kept_hot_customers(lake: Lake, checkpoint: str, settled: int = 100_000) -> list[str] | None:
+    """The customers whose orders the join deals into slices, for the life of a checkpoint.
+
+    They are found in the orders stored at the query's first start, where at least
+    ``settled`` are, and written beside the checkpoint: state that was dealt one way must
+    be looked up that way. With fewer orders to go by, None: every customer is sliced.
+    """
+    path, spark = f"{checkpoint}_hot.json", lake.spark
+    if not files.exists(spark, path):
+        known = not files.exists(spark, checkpoint)  # else state without a list is there already
+        known = known and lake.orders.read().limit(settled).count() == settled
+        found = heavy_keys(lake.orders.read(), "customer_id") if known else None
+        staged = f"{path}.{uuid.uuid4().hex}"
+        files.write_text(spark, staged, json.dumps(found))
+        files.publish(spark, staged, path)
+    return json.loads(files.read_text(spark, path))
 
 
 def silver_customers_orders(
@@ -200,6 +237,7 @@ def silver_customers_orders(
     salts: int = 8,
     within: str | None = None,
 ) -> StreamingQuery:
-    rows = customers_orders_stream(lake, customers_watermark, orders_watermark, salts, within)
     checkpoint = lake.checkpoint("silver", "silver_customers_orders")
+    hot = kept_hot_customers(lake, checkpoint)
+    rows = customers_orders_stream(lake, customers_watermark, orders_watermark, salts, within, hot)
     return for_each_batch(rows, upsert_customers_orders(lake, name), checkpoint, name, trigger)
