@@ -485,6 +485,36 @@ def test_nearest(raw_spark):
     assert [v for v, _ in got[350]] == [7, 300, 301, 302, 303]
 
 
+@pytest.mark.parametrize("ratio", [1.0, math.inf])
+def test_nearest_of_few_and_exactly(raw_spark, ratio):
+    """An infinite ratio is brute force on doubles, and lists too short for k read on."""
+    random_ = np.random.default_rng(1)
+    x = random_.normal(size=(120, 4)) * (1 + 1e-12)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(3, x[3].tolist())]
+    frame = raw_spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash"))
+    got = collections.defaultdict(list)
+    for r in vectors.nearest(frame, per_list=2, ratio=ratio).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in (0, 50, 100):
+        score = unit @ unit[q]
+        assert len(got[q]) == 5 and all(abs(score[v] - s) < 1e-14 for v, s in got[q])
+        if ratio == math.inf:
+            score[q] = -2
+            assert [v for v, _ in got[q]] == np.argsort(-score)[:5].tolist()
+    assert vectors.nearest(frame.where("vec_id < 3")).count() == 2
+
+
+def test_centroids_within_a_ratio():
+    random_ = np.random.default_rng(2)
+    unit = vectors._unit(random_.normal(size=(2000, 8)))
+    graph, asked = vectors.fit(unit, 8), unit[:100]
+    far = np.maximum(2 - 2 * asked @ graph.centroids.T, 0)
+    true = far <= 1.6**2 * far.min(1, keepdims=True)
+    got = graph.within(asked, 1.6)
+    assert (got & true).sum() >= 0.99 * true.sum()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(name, raw_spark):
     database = duckdb.connect()

@@ -3,15 +3,20 @@
 Fit (on a bounded sample): vectors are halved again and again between two centres until
 every part has at most ``per_list`` sample vectors, so the parts are of equal size; their
 means are the centroids, linked to a navigable graph. At most ``sample`` vectors and
-sample / per_list centroids are held by the driver and each task.
+2 * sample / per_list centroids are held by the driver and each task; up to that many
+vectors, the number of lists grows with the table.
 
 Index (every vector): the graph is searched for a vector's nearest centroids. It goes into
 the nearest one's posting list and, being near a boundary, into further ones whose distance
 is within ``spread`` of the nearest, unless a list already chosen lies nearer to that
 centroid than the vector does.
 
-Search: the graph finds a query's nearest centroids; lists are read whose distance is at
-most ``ratio`` times the nearest one's. Scores are cosines of the original vectors in double
+Search: from a query's nearest centroids the graph is followed to every centroid whose
+distance is at most ``ratio`` times the nearest one's, however many they are, and their
+lists are read. How far the lists of true neighbours lie depends on the vectors, so unless
+it is given, ``ratio`` is the one that reaches a share ``recall`` of the ``k`` nearest of
+256 sample vectors among the sample. A query for which these lists hold fewer than ``k`` others reads all lists;
+with an infinite ``ratio`` every query does, and the result is exact. Scores are cosines of the original vectors in double
 precision. Lists and the queries for them are cut into blocks of bounded size, each pair of
 blocks one task's work, so neither a crowded list nor one that all queries read meets a
 limit. Equal vectors are indexed and searched once; of each, the ``k + 1`` smallest ids are
@@ -33,8 +38,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstream.llm import blocks as B
+from tierstream.session import working_folder
 
-_LINKS, _ENTRIES, _AT_ONCE = 24, 16, 512
+_LINKS, _ENTRIES, _AT_ONCE, _ROWS = 24, 16, 512, 8_192
 
 
 @dataclass(frozen=True)
@@ -73,6 +79,34 @@ class CentroidGraph:
             found, distance = np.hstack([found, near]), np.hstack([distance, more])
             done = np.hstack([done, ~fresh])
 
+    def within(self, unit: np.ndarray, ratio: float, beam: int = 32) -> np.ndarray:
+        """Which centroids lie within ``ratio`` times the nearest one's distance, as one row of
+        booleans for each vector. The graph is flooded from the ``beam`` nearest, a ring of
+        neighbours at a time; only the ratio ends the search."""
+        if not np.isfinite(ratio):
+            return np.ones((len(unit), len(self.centroids)), bool)
+        found, distance = self.nearest(unit, beam)
+        far = np.full((len(unit), len(self.centroids)), np.inf, np.float32)
+        row = np.arange(len(unit))[:, None]
+        seen = np.isfinite(distance)
+        far[np.broadcast_to(row, found.shape)[seen], found[seen]] = np.maximum(distance[seen], 0)
+        limit = ratio**2 * np.maximum(far.min(1, keepdims=True), 1e-12)
+        followed = np.zeros(far.shape, bool)
+        while True:
+            ring = (far <= limit) & ~followed
+            if not ring.any():
+                return far <= limit
+            followed |= ring
+            fresh = np.zeros(far.shape, bool)
+            rows, at = np.nonzero(ring)
+            for link in self.links.T:
+                fresh[rows, link[at]] = True
+            rows, at = np.nonzero(fresh & np.isinf(far))
+            for low in range(0, len(rows), 65_536):
+                r, c = rows[low : low + 65_536], at[low : low + 65_536]
+                far[r, c] = np.maximum(2 - 2 * np.einsum("nd,nd->n", unit[r], self.centroids[c]), 0)
+            limit = ratio**2 * np.maximum(far.min(1, keepdims=True), 1e-12)
+
 
 def fit(vectors: np.ndarray, per_list: int, seed: int = 0) -> CentroidGraph:
     """Centroids of equal parts of the vectors (rows of unit length), and their graph."""
@@ -110,26 +144,25 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
 
 
-def _route(graph: CentroidGraph, dimension: int, beam: int, choose):
+def _route(graph: CentroidGraph, dimension: int, schema: pa.Schema, choose):
+    """One row for each vector and list that ``choose`` names (vectors' and lists' numbers)."""
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, _AT_ONCE):
                 part = batch.slice(low, _AT_ONCE)
-                unit = _unit(_matrix(part.column("vector"), dimension))
-                found, distance = graph.nearest(unit, beam)
-                taken = choose(found, distance, graph)
-                rows, columns = np.nonzero(taken)
-                at = pa.array(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[rows, columns], pa.int32()), part.column("node").take(at), part.column("vector").take(at)],
-                    names=["list", "node", "vector"],
-                )
+                rows, chosen = choose(graph, _unit(_matrix(part.column("vector"), dimension)))
+                for start in range(0, len(rows), _ROWS):
+                    at = pa.array(rows[start : start + _ROWS])
+                    lists = pa.array(chosen[start : start + _ROWS], pa.int32())
+                    columns = [lists, part.column("node").take(at), part.column("vector").take(at)]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return route
 
 
 def _replicas(spread: float, most: int):
-    def choose(found, distance, graph):
+    def choose(graph: CentroidGraph, unit: np.ndarray):
+        found, distance = graph.nearest(unit, 4 * most)
         distance = np.maximum(distance, 0)
         taken = np.zeros(found.shape, bool)
         taken[:, 0] = True
@@ -139,13 +172,36 @@ def _replicas(spread: float, most: int):
             between = 2 - 2 * np.einsum("nd,nmd->nm", graph.centroids[found[:, j]], graph.centroids[found[:, :j]])
             hidden = (taken[:, :j] & (between < distance[:, j : j + 1])).any(1)
             taken[:, j] = near[:, j] & ~hidden & (taken.sum(1) < most)
-        return taken
+        rows, columns = np.nonzero(taken)
+        return rows, found[rows, columns]
 
     return choose
 
 
 def _within(ratio: float):
-    return lambda found, distance, graph: np.maximum(distance, 0) <= ratio**2 * np.maximum(distance[:, :1], 1e-12)
+    return lambda graph, unit: np.nonzero(graph.within(unit, ratio))
+
+
+def fit_ratio(
+    graph: CentroidGraph, sample: np.ndarray, k: int, recall: float, spread: float, replicas: int, queries: int = 256
+) -> float:
+    """The distance ratio within which a share ``recall`` of the sample's neighbours are listed."""
+    asked = sample[:queries]
+    score = asked @ sample.T
+    score[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return 1.0
+    best = np.argpartition(-score, k - 1, 1)[:, :k]
+    query, neighbour = np.repeat(np.arange(len(asked)), k), best.reshape(-1)
+    far = np.maximum(2 - 2 * asked @ graph.centroids.T, 0)
+    far /= np.maximum(far.min(1, keepdims=True), 1e-12)
+    needed = np.full(len(query), np.inf, np.float32)
+    choose = _replicas(spread, replicas)
+    for low in range(0, len(query), _AT_ONCE):
+        rows, lists = choose(graph, sample[neighbour[low : low + _AT_ONCE]])
+        np.minimum.at(needed, low + rows, far[query[low + rows], lists])
+    return float(np.sqrt(np.quantile(needed, recall, method="higher")))
 
 
 def _search(k: int, dimension: int):
@@ -168,15 +224,39 @@ def _search(k: int, dimension: int):
     return search
 
 
+def _blocks(index: DataFrame, wanted: DataFrame, block: int, k: int, dimension: int) -> DataFrame:
+    """query, node, score of the best in each pair of blocks of a list and its queries."""
+    # The counts are two numbers for each of a bounded number of lists.
+    sizes = index.groupBy("list").count().withColumnRenamed("count", "n").join(
+        wanted.groupBy("list").count().withColumnRenamed("count", "m"), "list"
+    ).select("list", F.ceil(F.col("n") / block).cast("int").alias("n"), F.ceil(F.col("m") / block).cast("int").alias("m"))
+    sizes = F.broadcast(index.sparkSession.createDataFrame(sizes.collect(), "list int, n int, m int"))
+    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = index.join(sizes, "list").select("list", at("n").alias("x"), each("m").alias("y"), "node", "vector")
+    right = wanted.join(sizes, "list").select("list", each("n").alias("x"), at("m").alias("y"), "node", "vector")
+    return (
+        left.groupBy("list", "x", "y").cogroup(right.groupBy("list", "x", "y"))
+        .applyInArrow(_search(k, dimension), "query long, node long, score double")
+        .groupBy("query", "node").agg(F.max("score").alias("score"))  # a replica is found again
+    )
+
+
 def nearest(
-    embeddings: DataFrame, every: int = 50, k: int = 5, sample: int = 32_768, per_list: int = 64,
-    beam: int = 128, spread: float = 0.1, replicas: int = 4, ratio: float = 1.5, block: int = 4_096,
+    embeddings: DataFrame, every: int = 50, k: int = 5, sample: int = 131_072, per_list: int = 64,
+    spread: float = 0.1, replicas: int = 4, ratio: float | None = None, recall: float = 0.95, block: int = 4_096,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``."""
+    """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``.
+
+    The distinct vectors, their posting lists and what was found are written once below
+    the shared folder, for what follows reads each of them several times.
+    """
     spark = embeddings.sparkSession
+    double = embeddings.schema["embedding"].dataType.simpleString() != "array<float>"
+    element, arrow = ("double", pa.float64()) if double else ("float", pa.float32())
     finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     usable = (
-        embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("vector"))
+        embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{element}>").alias("vector"))
         .where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
         .groupBy("vec_id").agg(F.min("vector").alias("vector"))
     )
@@ -198,39 +278,44 @@ def nearest(
         .withColumn("node", F.first("vec_id").over(all_))
         .select("a", "b", "vec_id", "node")
     )
+    folder = working_folder(spark, "vectors")
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    members = written(members, "members")
     nodes = usable.join(members.where("vec_id = node").select(F.col("node").alias("vec_id")), "vec_id", "left_semi")
-    nodes = nodes.select(F.col("vec_id").alias("node"), "a", "b", "vector")
+    nodes = written(nodes.select(F.col("vec_id").alias("node"), "a", "b", "vector"), "nodes")
     asked = usable.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "a", "b")
-    query_nodes = nodes.join(asked.select("a", "b").distinct(), ["a", "b"], "left_semi")
+    query_nodes = nodes.join(asked.select("a", "b").distinct(), ["a", "b"], "left_semi").select("node", "vector")
 
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(sample).select("vector").toPandas()
-    graph = fit(_unit(np.stack(chosen["vector"].to_numpy())), per_list)
-    routed = "list int, node long, vector array<float>"
-    index = nodes.select("node", "vector").mapInArrow(
-        _route(graph, dimension, min(beam, 4 * replicas), _replicas(spread, replicas)), routed
-    )
-    wanted = query_nodes.select("node", "vector").mapInArrow(_route(graph, dimension, beam, _within(ratio)), routed)
-
-    # Blocks of both sides; the counts are two numbers for each of a bounded number of lists.
-    sizes = index.groupBy("list").count().withColumnRenamed("count", "n").join(
-        wanted.groupBy("list").count().withColumnRenamed("count", "m"), "list"
-    ).select("list", F.ceil(F.col("n") / block).cast("int").alias("n"), F.ceil(F.col("m") / block).cast("int").alias("m"))
-    sizes = spark.createDataFrame(sizes.collect(), "list int, n int, m int")
-    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.join(F.broadcast(sizes), "list").select("list", at("n").alias("x"), each("m").alias("y"), "node", "vector")
-    right = wanted.join(F.broadcast(sizes), "list").select("list", each("n").alias("x"), at("m").alias("y"), "node", "vector")
-    found = (
-        left.groupBy("list", "x", "y").cogroup(right.groupBy("list", "x", "y"))
-        .applyInArrow(_search(k, dimension), "query long, node long, score double")
-        .groupBy("query", "node").agg(F.max("score").alias("score"))  # a replica is found again
-    )
+    units = _unit(np.stack(chosen["vector"].to_numpy()))
+    graph = fit(units, per_list)
+    if ratio is None:
+        ratio = fit_ratio(graph, units, k, recall, spread, replicas)
+    routed = f"list int, node long, vector array<{element}>"
+    schema = pa.schema([("list", pa.int32()), ("node", pa.int64()), ("vector", pa.list_(arrow))])
+    index = nodes.select("node", "vector").mapInArrow(_route(graph, dimension, schema, _replicas(spread, replicas)), routed)
+    index = written(index, "lists")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    top = (
-        found.join(members.select("node", "vec_id"), "node")
-        .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-        .join(nodes.select(F.col("node").alias("query"), "a", "b"), "query")
-    )
+
+    def found_for(queries: DataFrame, reach: float) -> DataFrame:
+        wanted = queries.mapInArrow(_route(graph, dimension, schema, _within(reach)), routed)
+        return (
+            _blocks(index, wanted, block, k, dimension).join(members.select("node", "vec_id"), "node")
+            .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("query", "vec_id", "score", "n")
+        )
+
+    top = written(found_for(query_nodes, ratio), "found")
+    if np.isfinite(ratio):
+        whole = top.where(F.col("n") == k + 1).select(F.col("query").alias("node"))
+        short = query_nodes.join(whole, "node", "left_anti")
+        if not short.isEmpty():
+            top = top.join(whole.withColumnRenamed("node", "query"), "query", "left_semi")
+            top = top.unionByName(written(found_for(short, float("inf")), "found_in_all"))
+    top = top.join(nodes.select(F.col("node").alias("query"), "a", "b"), "query")
     ranked = Window.partitionBy("query_id").orderBy("n")
     return (
         asked.join(top, ["a", "b"]).where("vec_id <> query_id")
