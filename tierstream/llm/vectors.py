@@ -244,7 +244,7 @@ def _blocks(index: DataFrame, wanted: DataFrame, block: int, k: int, dimension:
 
 def nearest(
     embeddings: DataFrame, every: int = 50, k: int = 5, sample: int = 131_072, per_list: int = 64,
-    spread: float = 0.1, replicas: int = 4, ratio: float | None = None, recall: float = 0.95, block: int = 4_096,
+    spread: float = 0.1, replicas: int = 4, ratio: float | None = None, recall: float = 0.97, block: int = 4_096,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``.
 
