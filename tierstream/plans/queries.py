@@ -427,9 +427,9 @@ def customers_orders_stream_join(spark: SparkSession, folder: str) -> DataFrame:
     shop.send(lake, "customers", customers, "customer_id")
     drain(silver.silver_customers(lake, DRAIN))
     _run_orders(lake, folder)
-    out = lake.path("out", "joined")
-    joined = silver.customers_orders_stream(lake)
-    drain(append_to_folder(joined, out, lake.checkpoint("out", "joined"), "customers_orders", DRAIN))
+    out, checkpoint = lake.path("out", "joined"), lake.checkpoint("out", "joined")
+    joined = silver.customers_orders_stream(lake, hot=silver.kept_hot_customers(lake, checkpoint))
+    drain(append_to_folder(joined, out, checkpoint, "customers_orders", DRAIN))
     return spark.read.parquet(out).select(
         "order_id", "order_timestamp", "customer_id", "quantity", "total", "email", "country", "_change_type"
     )
