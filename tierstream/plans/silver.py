@@ -184,12 +184,14 @@ def upsert_customers_orders(lake: Lake, name: str) -> BatchHandler:
     """Bring each order's customer columns to the newest change."""
 
     def handle(batch: DataFrame, writer: str, batch_id: int) -> None:
-        rows = batch.count()
+        moment = "_commit_timestamp"
+        rows, first, last = batch.agg(F.count("*"), F.min(F.struct(moment)), F.max(moment)).first()
         record(lake.metrics, name, writer, batch_id, "silver_customers_orders", rows)
         if not rows:
             return
-        effective = batch.filter(F.col("_change_type").isin(_EFFECTIVE_CHANGES))
-        newest = newest_with_ties(effective, ["order_id", "customer_id"], "_commit_timestamp")
+        newest = batch.filter(F.col("_change_type").isin(_EFFECTIVE_CHANGES))
+        if first[moment] != last:  # all changes of one commit are equally new
+            newest = newest_with_ties(newest, ["order_id", "customer_id"], moment)
         source = newest.drop("_commit_version").withColumnRenamed("_commit_timestamp", "processed_timestamp")
         lake.customers_orders.merge(source, CUSTOMER_ORDER_STATE, writer, batch_id)
 
