@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tierstream.session import adaptive
+from tierstream.sources import files
 
 # Gets the micro-batch, the id of the query that wrote it, and the batch's number.
 BatchHandler = Callable[[DataFrame, str, int], None]
@@ -63,20 +64,27 @@ def for_each_batch(
     mode: str = "append",
     reread: bool = True,
 ) -> StreamingQuery:
-    """Hand every micro-batch to ``handle``, persisted if that will read it more than
-    once (``reread``). Errors end the query."""
+    """Hand every micro-batch to ``handle``, as files if that will read it more than once
+    (``reread``). Errors end the query.
+
+    The files lie beside the checkpoint while the batch is handled. A persisted batch would
+    not do: Spark does not find it again where a plan holds the batch twice, and computes the
+    stream's state once more for each such place, and all that was persisted on top of it.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        staged = f"{checkpoint}_batch/{batch_id}"
         if reread:
-            batch.persist()
+            batch.write.mode("overwrite").parquet(staged)
+            batch = session.read.schema(batch.schema).parquet(staged)
         try:
             with adaptive(session):
                 handle(batch, writer, batch_id)
         finally:
             if reread:
-                batch.unpersist()
+                files.remove(session, staged)
 
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).queryName(name)
     return trigger.on(writer.foreachBatch(on_batch)).start()

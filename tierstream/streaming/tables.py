@@ -179,7 +179,9 @@ class MergeTable:
             versions = [v for v in versions if v > bases[-1]]
         reader = self.spark.read.schema(self._effects.schema)
         folders = [self._folder("effects", v) for v in versions]
-        effects = reader.parquet(*folders) if folders else self.spark.createDataFrame([], self._effects.schema)
+        # Without effects the filter tells the optimizer that a first merge needs no join.
+        nothing = self.spark.createDataFrame([], self._effects.schema).filter("false")
+        effects = reader.parquet(*folders) if folders else nothing
         newest = effects.filter("_effect <> 'update_preimage'")
         if len(versions) > 1:
             newest = newest_per_key(newest, _ROW, "_version", ties=[])
