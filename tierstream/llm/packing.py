@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierstream.llm.chunks import ChunkEncoder
+from tierstream.llm.chunks import ChunkEncoder, id_bytes
 from tierstream.llm.frames import parts
 from tierstream.llm.superminhash import slices
 from tierstream.session import working_folder
@@ -78,7 +78,9 @@ def _encoder(tokenizer: str) -> ChunkEncoder:
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(tokenizer)
-    return ChunkEncoder(lambda t: [e.ids for e in model.encode_batch_fast(t, add_special_tokens=False)])
+    return ChunkEncoder(
+        lambda t: [e.ids for e in model.encode_batch_fast(t, add_special_tokens=False)], id_bytes=id_bytes(model)
+    )
 
 
 def _pieces(tokenizer: str, capacity: int, end: int, with_ids: bool):
