@@ -242,6 +242,21 @@ def _blocks(index: DataFrame, wanted: DataFrame, block: int, k: int, dimension:
     )
 
 
+def _best_ids(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """query, vec_id, score, n: the first ``k + 1`` rows of each query.
+
+    They are of its first ``k + 1`` nodes, a node going by its smallest id, so ids are looked
+    up for these alone, however many lists were read.
+    """
+    nodes = Window.partitionBy("query").orderBy(F.desc("score"), "node")
+    ids = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.withColumn("n", F.row_number().over(nodes)).where(F.col("n") <= k + 1)
+        .join(members.select("node", "vec_id"), "node")
+        .withColumn("n", F.row_number().over(ids)).where(F.col("n") <= k + 1).select("query", "vec_id", "score", "n")
+    )
+
+
 def nearest(
     embeddings: DataFrame, every: int = 50, k: int = 5, sample: int = 131_072, per_list: int = 64,
     spread: float = 0.1, replicas: int = 4, ratio: float | None = None, recall: float = 0.97, block: int = 4_096,
@@ -299,14 +314,10 @@ def nearest(
     schema = pa.schema([("list", pa.int32()), ("node", pa.int64()), ("vector", pa.list_(arrow))])
     index = nodes.select("node", "vector").mapInArrow(_route(graph, dimension, schema, _replicas(spread, replicas)), routed)
     index = written(index, "lists")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
 
     def found_for(queries: DataFrame, reach: float) -> DataFrame:
         wanted = queries.mapInArrow(_route(graph, dimension, schema, _within(reach)), routed)
-        return (
-            _blocks(index, wanted, block, k, dimension).join(members.select("node", "vec_id"), "node")
-            .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("query", "vec_id", "score", "n")
-        )
+        return _best_ids(_blocks(index, wanted, block, k, dimension), members, k)
 
     top = written(found_for(query_nodes, ratio), "found")
     if np.isfinite(ratio):
