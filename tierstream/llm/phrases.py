@@ -65,13 +65,14 @@ def word_sequence(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Word numbers from 1 on, 0 between pieces and at both ends; and the words, in byte order."""
     data, offsets = B.utf8(texts)
     data = B.LOWER[data]
-    starts, ends, owner = B.runs(~_GAP[data], offsets)
-    breaks = np.append(0, np.cumsum(_BREAK[data]))
+    solid = ~_GAP[data]
+    starts, ends, owner = B.runs(solid, offsets)
+    # Arrays of eight bytes per word are fine, per letter they would set the task's memory.
+    at = np.searchsorted(np.flatnonzero(_BREAK[data]), starts)  # how many breaks are before a word
     new = np.ones(len(starts), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (breaks[starts[1:]] != breaks[starts[:-1]])
-    lengths = ends - starts
-    cuts = np.append(0, np.cumsum(lengths)).astype(np.int64)
-    letters = data[B.expand(starts, lengths)]
+    new[1:] = (owner[1:] != owner[:-1]) | (at[1:] != at[:-1])
+    cuts = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
+    letters = data[solid]  # words hold all solid bytes, in this order
     found = pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(letters.tobytes())]
     ).dictionary_encode()
@@ -180,6 +181,7 @@ def _index(shard_bytes: int):
         def built(lang: str) -> pa.RecordBatch:
             nonlocal number
             sequence, words = word_sequence(pa.concat_arrays(waiting.pop(lang)))
+            pa.default_memory_pool().release_unused()  # the worker lives on, beside the others
             del size[lang]
             number += 1
             counts = np.bincount(sequence, minlength=len(words) + 1)[1:]
