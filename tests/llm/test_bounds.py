@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from tierstream.llm import packing, phrases, vectors
+from tierstream.llm import packing, phrases, superminhash, vectors
 from tierstream.llm.chunks import ChunkEncoder, id_bytes
 from tierstream.llm.queries import BYTE_BPE
 
@@ -75,3 +75,38 @@ def test_ids_are_looked_up_after_ranking(spark):
     best = vectors._best_ids(found, members, 2)
     assert "Window" in best._jdf.queryExecution().executedPlan().toString().split("Join", 1)[1]
     assert sorted(map(tuple, best.where("query = 1").select("n", "vec_id").collect())) == [(1, 9), (2, 19), (3, 29)]
+
+
+def test_crowd_without_links_stays_out_of_blocks(spark, monkeypatch):
+    """Of many texts alike, those whose common elements are too few for a link meet no block; groups as by brute force."""
+    random_ = random.Random(11)
+    texts = []
+    for n in range(240):
+        own = [f"w{k}" for k in range(120)]
+        for _ in range(random_.choice([1, 2] if n % 4 == 0 else [4, 5, 6, 9])):
+            own[random_.randrange(120)] = f"n{random_.randrange(40)}"
+        texts.append(" ".join(own))
+    blockwise, met = superminhash._blockwise, []
+
+    def spy(members, *rest):
+        met.append(members.select("node").distinct().count())
+        return blockwise(members, *rest)
+
+    monkeypatch.setattr(superminhash, "_blockwise", spy)
+    monkeypatch.setattr(superminhash, "_CROWDED", 2)
+    monkeypatch.setattr(superminhash, "_ELEMENTS", 5_000, raising=False)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in superminhash.near_duplicates(frame).collect()}
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in words]
+    links = [(a, b) for a, b in itertools.combinations(range(240), 2) if 7 * len(sets[a] & sets[b]) >= 3 * (len(sets[a]) + len(sets[b]))]
+    root = list(range(240))
+    for _ in range(240):
+        before = list(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    assert got == dict(enumerate(root))
+    alone = sum(root.count(r) == 1 for r in root)
+    assert alone > 100 and met[0] < 240 - alone / 2
