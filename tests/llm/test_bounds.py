@@ -110,3 +110,25 @@ def test_crowd_without_links_stays_out_of_blocks(spark, monkeypatch):
     assert got == dict(enumerate(root))
     alone = sum(root.count(r) == 1 for r in root)
     assert alone > 100 and met[0] < 240 - alone / 2
+
+
+def test_search_rows_do_not_grow_with_lists(spark, monkeypatch):
+    """Twelve times the lists, all read: no more rows of a query from the search; blocks give the same neighbours."""
+    random_ = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(random_.normal(size=(1500, 6)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    blocks, made = vectors._blocks, []
+
+    def spy(*given):
+        found = blocks(*given)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(vectors, "_blocks", spy)
+    monkeypatch.setattr(vectors, "_SHELVES", 4, raising=False)
+    results = [
+        {(r["query_id"], r["rank"]): (r["vec_id"], round(r["score"], 12)) for r in vectors.nearest(frame, ratio=float("inf"), **given).collect()}
+        for given in ({"per_list": 120}, {"per_list": 10}, {"per_list": 10, "block": 100})
+    ]
+    assert made[1] <= 30 * 4 * 6 and len(results[0]) == 150
+    assert results[0] == results[1] == results[2]

@@ -17,7 +17,10 @@ lists are read. How far the lists of true neighbours lie depends on the vectors,
 it is given, ``ratio`` is the one that reaches a share ``recall`` of the ``k`` nearest of
 256 sample vectors among the sample. A query for which these lists hold fewer than ``k`` others reads all lists;
 with an infinite ``ratio`` every query does, and the result is exact. Scores are cosines of the original vectors in double
-precision. Lists and the queries for them are cut into blocks of bounded size, each pair of
+precision. Neighbouring lists stand on one of at most 64 shelves. A query goes to a shelf once,
+with the numbers of the lists it reads there, and gets the best of all of them back, so what
+it is sent does not grow with the lists it reads. Shelves and the queries for them are cut
+into blocks of bounded size, each pair of
 blocks one task's work, so neither a crowded list nor one that all queries read meets a
 limit. Equal vectors are indexed and searched once; of each, the ``k + 1`` smallest ids are
 all that any result can need.
@@ -41,6 +44,7 @@ from tierstream.llm import blocks as B
 from tierstream.session import working_folder
 
 _LINKS, _ENTRIES, _AT_ONCE, _ROWS = 24, 16, 512, 8_192
+_SHELVES, _COMPONENTS, _SCORES = 64, 4_194_304, 4_194_304
 
 
 @dataclass(frozen=True)
@@ -145,16 +149,26 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _route(graph: CentroidGraph, dimension: int, schema: pa.Schema, choose):
-    """One row for each vector and list that ``choose`` names (vectors' and lists' numbers)."""
+    """One row for each vector and shelf, with those of its lists that ``choose`` names (vectors'
+    and lists' numbers)."""
+    lists = len(graph.centroids)
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, _AT_ONCE):
                 part = batch.slice(low, _AT_ONCE)
                 rows, chosen = choose(graph, _unit(_matrix(part.column("vector"), dimension)))
-                for start in range(0, len(rows), _ROWS):
-                    at = pa.array(rows[start : start + _ROWS])
-                    lists = pa.array(chosen[start : start + _ROWS], pa.int32())
-                    columns = [lists, part.column("node").take(at), part.column("vector").take(at)]
+                order = np.lexsort((chosen, rows))
+                rows, chosen = rows[order], chosen[order]
+                shelf = chosen * min(_SHELVES, lists) // lists  # lists are numbered along the halving
+                first, sizes = B.groups(rows * _SHELVES + shelf)
+                for start in range(0, len(first), _ROWS):
+                    at, n = first[start : start + _ROWS], sizes[start : start + _ROWS]
+                    read = pa.ListArray.from_arrays(
+                        pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(chosen[at[0] : at[-1] + n[-1]], pa.int32())
+                    )
+                    row = pa.array(rows[at])
+                    columns = [pa.array(shelf[at], pa.int32()), read, part.column("node").take(row), part.column("vector").take(row)]
                     yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return route
@@ -204,39 +218,63 @@ def fit_ratio(
     return float(np.sqrt(np.quantile(needed, recall, method="higher")))
 
 
+def _by_list(column: pa.ChunkedArray) -> dict[int, np.ndarray]:
+    """The rows of each list, rising."""
+    read = B.plain(column)
+    row = np.repeat(np.arange(len(read)), read.value_lengths().to_numpy())
+    lists = read.flatten().to_numpy()
+    order = np.argsort(lists, kind="stable")
+    starts, sizes = B.groups(lists[order])
+    return {int(lists[order[a]]): row[order[a : a + n]] for a, n in zip(starts, sizes, strict=True)}
+
+
 def _search(k: int, dimension: int):
+    """The ``k + 1`` best nodes of each query in all lists that it reads in a block of a shelf."""
     schema = pa.schema([("query", pa.int64()), ("node", pa.int64()), ("score", pa.float64())])
 
-    def search(lists: pa.Table, queries: pa.Table) -> pa.Table:
-        if not lists.num_rows or not queries.num_rows:
+    def search(shelf: pa.Table, queries: pa.Table) -> pa.Table:
+        if not shelf.num_rows or not queries.num_rows:
             return schema.empty_table()
-        order = np.argsort(B.ids(lists["node"]), kind="stable")
-        nodes = B.ids(lists["node"])[order]
-        x = _matrix(lists["vector"], dimension)[order].astype(np.float64)
+        shelf = shelf.take(pa.array(np.argsort(B.ids(shelf["node"]), kind="stable")))
+        nodes = B.ids(shelf["node"])
+        x = _matrix(shelf["vector"], dimension).astype(np.float64)
         q = _matrix(queries["vector"], dimension).astype(np.float64)
-        score = (q @ x.T) / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :])
-        best = np.argsort(-score, 1, kind="stable")[:, : k + 1]  # ties to the smaller id
+        x_norm, q_norm = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
+        held, score = np.full((len(q), k + 1), -1), np.full((len(q), k + 1), -np.inf)  # rows of the shelf
+        asked = _by_list(queries["lists"])
+        for number, listed in _by_list(shelf["lists"]).items():
+            own, vectors = asked.get(number, np.zeros(0, np.int64)), x[listed]
+            step = max(1, _SCORES // len(listed))
+            for low in range(0, len(own), step):
+                at = own[low : low + step]
+                found = (q[at] @ vectors.T) / (q_norm[at, None] * x_norm[None, listed])
+                best = np.argsort(-found, 1, kind="stable")[:, : k + 1]  # ties to the smaller id
+                found, best = np.take_along_axis(found, best, 1), listed[best]
+                found[(best[:, :, None] == held[at][:, None, :]).any(2)] = -np.inf  # a replica found again
+                best, found = np.hstack([held[at], best]), np.hstack([score[at], found])
+                order = np.lexsort((best, -found), axis=1)[:, : k + 1]
+                held[at], score[at] = np.take_along_axis(best, order, 1), np.take_along_axis(found, order, 1)
+        full = np.isfinite(score)
         return pa.table(
-            [np.repeat(B.ids(queries["node"]), best.shape[1]), nodes[best].reshape(-1),
-             np.take_along_axis(score, best, 1).reshape(-1)], schema=schema,
+            [np.repeat(B.ids(queries["node"]), full.sum(1)), nodes[held[full]], score[full]], schema=schema,
         )
 
     return search
 
 
 def _blocks(index: DataFrame, wanted: DataFrame, block: int, k: int, dimension: int) -> DataFrame:
-    """query, node, score of the best in each pair of blocks of a list and its queries."""
-    # The counts are two numbers for each of a bounded number of lists.
-    sizes = index.groupBy("list").count().withColumnRenamed("count", "n").join(
-        wanted.groupBy("list").count().withColumnRenamed("count", "m"), "list"
-    ).select("list", F.ceil(F.col("n") / block).cast("int").alias("n"), F.ceil(F.col("m") / block).cast("int").alias("m"))
-    sizes = F.broadcast(index.sparkSession.createDataFrame(sizes.collect(), "list int, n int, m int"))
+    """query, node, score of the best in each pair of blocks of a shelf and its queries."""
+    # The counts are two numbers for each of at most 64 shelves.
+    sizes = index.groupBy("shelf").count().withColumnRenamed("count", "n").join(
+        wanted.groupBy("shelf").count().withColumnRenamed("count", "m"), "shelf"
+    ).select("shelf", F.ceil(F.col("n") / block).cast("int").alias("n"), F.ceil(F.col("m") / block).cast("int").alias("m"))
+    sizes = F.broadcast(index.sparkSession.createDataFrame(sizes.collect(), "shelf int, n int, m int"))
     at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.join(sizes, "list").select("list", at("n").alias("x"), each("m").alias("y"), "node", "vector")
-    right = wanted.join(sizes, "list").select("list", each("n").alias("x"), at("m").alias("y"), "node", "vector")
+    left = index.join(sizes, "shelf").select("shelf", at("n").alias("x"), each("m").alias("y"), "lists", "node", "vector")
+    right = wanted.join(sizes, "shelf").select("shelf", each("n").alias("x"), at("m").alias("y"), "lists", "node", "vector")
     return (
-        left.groupBy("list", "x", "y").cogroup(right.groupBy("list", "x", "y"))
+        left.groupBy("shelf", "x", "y").cogroup(right.groupBy("shelf", "x", "y"))
         .applyInArrow(_search(k, dimension), "query long, node long, score double")
         .groupBy("query", "node").agg(F.max("score").alias("score"))  # a replica is found again
     )
@@ -259,10 +297,13 @@ def _best_ids(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
 
 def nearest(
     embeddings: DataFrame, every: int = 50, k: int = 5, sample: int = 131_072, per_list: int = 64,
-    spread: float = 0.1, replicas: int = 4, ratio: float | None = None, recall: float = 0.97, block: int = 4_096,
+    spread: float = 0.1, replicas: int = 4, ratio: float | None = None, recall: float = 0.97, block: int | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each vec_id divisible by ``every``.
 
+    ``block`` is the number of vectors or queries in a block, unless given as many as have
+    four million components.
+
     The distinct vectors, their posting lists and what was found are written once below
     the shared folder, for what follows reads each of them several times.
     """
@@ -310,8 +351,9 @@ def nearest(
     graph = fit(units, per_list)
     if ratio is None:
         ratio = fit_ratio(graph, units, k, recall, spread, replicas)
-    routed = f"list int, node long, vector array<{element}>"
-    schema = pa.schema([("list", pa.int32()), ("node", pa.int64()), ("vector", pa.list_(arrow))])
+    block = block or max(1, _COMPONENTS // dimension)
+    routed = f"shelf int, lists array<int>, node long, vector array<{element}>"
+    schema = pa.schema([("shelf", pa.int32()), ("lists", pa.list_(pa.int32())), ("node", pa.int64()), ("vector", pa.list_(arrow))])
     index = nodes.select("node", "vector").mapInArrow(_route(graph, dimension, schema, _replicas(spread, replicas)), routed)
     index = written(index, "lists")
 
